@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import language_id, quality_rules, token_output
+from lodestone.llm import language_id, quality_rules, simhash_dedup, token_output
 
 END_ID = 2
 
@@ -30,6 +30,11 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_shards(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), END_ID)
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.simhash_components(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit_language_model(docs)
@@ -42,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": op2_quality_rules,
         "op4_token_output": op4_token_output,
+        "op5_simhash_dedup": op5_simhash_dedup,
         "op7_language_id": op7_language_id,
     }
 
