@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import language_id, quality_rules, simhash_dedup, token_output
+from lodestone.llm import language_id, quality_rules, simhash_dedup, suffix_dedup, token_output
 
 END_ID = 2
 
@@ -43,12 +43,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), threshold=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": op2_quality_rules,
         "op4_token_output": op4_token_output,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op7_language_id": op7_language_id,
+        "op9_suffix_dedup": op9_suffix_dedup,
     }
 
 
