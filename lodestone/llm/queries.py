@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import language_id, quality_rules, simhash_dedup, suffix_dedup, token_output
+from lodestone.llm import language_id, merge_dropout, quality_rules, simhash_dedup, suffix_dedup, token_output
 
 END_ID = 2
 
@@ -26,6 +26,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, sf_dir, "documents"))
 
 
+def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_shards(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), END_ID)
 
@@ -50,6 +54,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op3_merge_dropout": op3_merge_dropout,
         "op4_token_output": op4_token_output,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op7_language_id": op7_language_id,
