@@ -193,19 +193,16 @@ def has_letter(raw: bytes, lo: int, hi: int) -> bool:
     return bool(_ASCII_LETTER.search(raw, lo, hi)) or bool(LETTER.search(raw[lo:hi].decode("utf-8", "replace")))
 
 
-OUT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-
-
-def identify_languages(docs: DataFrame, model: PpmModel, temper_bytes: int = 48, extra: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang_pred and score of every document, and the columns ``extra`` passed through.  One narrow pass, no shuffle."""
+def identify_languages(docs: DataFrame, model: PpmModel, temper_bytes: int = 48, extra: tuple[str, ...] = (), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """doc_id, the predicted language and its score (columns ``names``) of every document, and the columns ``extra`` passed through.  One narrow pass, no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = {f.name: f for f in docs.schema.fields}
-    schema = T.StructType([fields["doc_id"], *[fields[c] for c in extra], *OUT.fields[1:]])
+    kept = ["doc_id", *extra]
+    schema = T.StructType([*[fields[c] for c in kept], T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = predict_batch(shared.value, batch.column("text"), temper_bytes)
-            kept = [batch.column(c) for c in ("doc_id", *extra)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[f.name for f in schema.fields])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[f.name for f in schema.fields])
 
-    return docs.select(*dict.fromkeys(["doc_id", "text", *extra])).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*kept, "text"])).mapInArrow(run, schema)

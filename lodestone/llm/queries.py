@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import language_id, merge_dropout, quality_rules, simhash_dedup, suffix_dedup, token_output, toxicity
+from lodestone.llm import decontamination, html_extraction, language_id, merge_dropout, quality_rules, secret_scan, simhash_dedup, suffix_dedup, token_output, toxicity
 
 END_ID = 2
 
@@ -46,6 +46,10 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit_language_model(docs)
@@ -54,10 +58,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), threshold=50)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -65,8 +77,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_merge_dropout": op3_merge_dropout,
         "op4_token_output": op4_token_output,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op6_html_extraction": op6_html_extraction,
         "op7_language_id": op7_language_id,
+        "op8_secret_scan": op8_secret_scan,
         "op9_suffix_dedup": op9_suffix_dedup,
+        "op10_decontamination": op10_decontamination,
     }
 
 
