@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from lodestone.llm.arrow_text import mix64, utf8_view
 
 BLOCK = 1 << 20
+PACKER = pa.Codec("zstd", compression_level=4)
 LOW40 = np.uint64((1 << 40) - 1)
 MARK = np.iinfo(np.int64).min
+NO_ID = MARK + 1  # stands for a null doc_id, so that both joins read one exchange of the texts
 BYTE_VALUE = mix64(np.arange(256, dtype=np.uint64) + np.uint64(1000))
 BASE = 0x9E3779B97F4A7C15
 
@@ -109,7 +111,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, threshold: int, k: int) -> tu
 
 def pack(*columns: np.ndarray) -> bytes:
     raw = b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
-    return struct.pack("<II", len(columns[0]), len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
+    return struct.pack("<II", len(columns[0]), len(raw)) + PACKER.compress(raw, asbytes=True)
 
 
 def unpack(blob: bytes, kinds: tuple) -> list[np.ndarray]:
@@ -251,7 +253,7 @@ def surroundings(data: np.ndarray, start: np.ndarray, size: np.ndarray, pos: np.
 
 
 def context_columns(threshold: int, k: int) -> tuple:
-    return (("<u8", 1), ("<i8", 1), ("<u4", 1), ("u1", 1), ("u1", 1), ("u1", 2 * threshold - k))
+    return (("<u4", 1), ("u1", 1), ("<i8", 1), ("<u4", 1), ("u1", 1), ("u1", 1), ("u1", 2 * threshold - k))
 
 
 def deal_surroundings(found: DataFrame, threshold: int, k: int, buckets: int, at_once: int = 1 << 17) -> DataFrame:
@@ -284,7 +286,8 @@ def deal_surroundings(found: DataFrame, threshold: int, k: int, buckets: int, at
                 go = np.flatnonzero(~later)
                 for b, i in split_by_bucket((h[go] >> np.uint64(40)) % np.uint64(buckets)):
                     i = go[i]
-                    out.append((b, 0, pack(h[i], doc[i], pos[i].astype(np.uint32), left[i], right[i], context[i])))
+                    low = h[i] & LOW40
+                    out.append((b, 0, pack(low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8), np.diff(doc[i], prepend=0), pos[i].astype(np.uint32), left[i], right[i], context[i])))
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["bucket", "kind", "blob"])
 
     return found.select("doc_id", "text", "spots").mapInArrow(run, DEALT)
@@ -372,7 +375,9 @@ def removals(dealt: DataFrame, threshold: int, k: int, buckets: int, at_once: in
             parts = [unpack(blob, kinds) for kind, blob in held if kind == 0]
             if not parts:
                 continue
-            h, doc, pos, left, right, context = (np.concatenate([p[i] for p in parts]) for i in range(6))
+            h = np.concatenate([p[0].astype(np.uint64) | p[1].astype(np.uint64) << np.uint64(32) for p in parts])
+            doc = np.concatenate([np.cumsum(p[2]) for p in parts])
+            pos, left, right, context = (np.concatenate([p[i] for p in parts]) for i in range(3, 7))
             del parts
             same = same_rows(h ^ (left.astype(np.uint64) << np.uint64(8) | right.astype(np.uint64)), context)
             order = np.lexsort((doc, same))
@@ -437,7 +442,8 @@ def keep_rest(joined: DataFrame, with_text: bool) -> DataFrame:
                 left = b"".join(rest)
                 for column, value in zip(out, (len(text), len(text) - len(left), n_spans, hashlib.sha256(left).hexdigest(), left), strict=True):
                     column.append(value)
-            arrays = [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.string())]
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            arrays = [pa.array(ids, pa.int64(), mask=ids == NO_ID), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if with_text:
                 arrays, names = [*arrays, pa.array(out[4], pa.binary())], [*names, "kept"]
@@ -450,10 +456,10 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, with_text: bool = False
     """Counts and checksum (and bytes, if asked for) of what each text keeps.  The texts are exchanged once."""
     k = max(1, 2 * threshold // 5)
     spark = docs.sparkSession
-    table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    table = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 24, math.ceil(min(size, 1 << 50) / (4 << 20))) if size < 1 << 60 else 1)
-    candidates = repeated_anchors(deal_anchors(table.where(F.col("doc_id").isNotNull()), threshold, k, buckets), buckets)
+    candidates = repeated_anchors(deal_anchors(table.where(F.col("doc_id") != NO_ID), threshold, k, buckets), buckets)
     spots = candidates.groupBy("doc_id").agg(F.collect_list("pos").alias("spots"))
     dealt = table.repartition("doc_id")
     ranges = removals(deal_surroundings(dealt.join(spots, "doc_id"), threshold, k, buckets), threshold, k, buckets)
