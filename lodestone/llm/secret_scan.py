@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm.quality_rules import let, words_of
-from lodestone.llm.shared import cut
+from lodestone.llm.shared import cut, fresh
 
 KEY_RUN = r"[A-Za-z0-9+/_=\-]{16,}"
 TELLING = r"(?i)(passw|pwd|secret|token|key|auth|bearer|credential)[^=:]{0,20}[=:].{6,}"
@@ -174,12 +174,13 @@ def scan_secrets(docs: DataFrame, model: RandomForestClassificationModel | None
 
 def redact_secrets(docs: DataFrame, model: RandomForestClassificationModel | None = None, text: str = "text") -> DataFrame:
     """All documents; accepted values are replaced by [SECRET], longest first, and n_chars follows the text."""
-    values = scan_secrets(docs, model).groupBy(F.col("doc_id").alias("found_id")).agg(F.collect_set("value").alias("found_values"))
-    values = values.withColumn("found_values", F.expr("transform(array_sort(transform(found_values, v -> struct(-length(v) AS n, v AS v))), x -> x.v)"))
-    joined = docs.join(values, docs["doc_id"].eqNullSafe(F.col("found_id")), "left")
-    clean = F.expr(f"aggregate(found_values, {text}, (t, v) -> replace(t, v, '[SECRET]'))")
-    out = joined.withColumn(text, F.when(F.col("found_values").isNull(), F.col(text)).otherwise(clean))
+    key, found = fresh(docs, "found_id"), fresh(docs, "found_values")
+    values = scan_secrets(docs, model).groupBy(F.col("doc_id").alias(key)).agg(F.collect_set("value").alias("v"))
+    longest_first = F.expr("transform(array_sort(transform(v, x -> struct(-length(x) AS n, x AS x))), y -> y.x)")
+    joined = docs.join(values.select(key, longest_first.alias(found)), F.col("doc_id").eqNullSafe(F.col(key)), "left")
+    clean = F.aggregate(found, F.col(text), lambda t, v: F.replace(t, v, F.lit("[SECRET]")))
+    same = F.col(found).isNull()
+    out = joined.withColumn(text, F.when(same, F.col(text)).otherwise(clean))
     if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        out = out.withColumn("n_chars", F.when(F.col("found_values").isNull(), F.col("n_chars")).otherwise(F.length(text).cast(kind)))
+        out = out.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length(text).cast(dict(docs.dtypes)["n_chars"])))
     return out.select(*docs.columns)
