@@ -77,3 +77,19 @@ def salvage_triage(s: Column) -> Column:
             F.when(s.rlike(r'"plate_title"\s*:\s*"'), F.regexp_extract(s, r'"plate_title"\s*:\s*"([^"]*)"', 1)).alias("plate_title"),
         ),
     )
+
+
+def strict_schema(ddl: str) -> dict:
+    """JSON schema of a DDL struct: every member required (nullable ones by type), no others allowed, to any depth."""
+    from pyspark.sql import types as T
+
+    plain = {"string": "string", "integer": "integer", "long": "integer", "double": "number", "float": "number", "boolean": "boolean"}
+
+    def of(t: T.DataType) -> dict:
+        if isinstance(t, T.StructType):
+            return {"type": "object", "properties": {f.name: of(f.dataType) for f in t.fields}, "required": [f.name for f in t.fields], "additionalProperties": False}
+        if isinstance(t, T.ArrayType):
+            return {"type": "array", "items": of(t.elementType)}
+        return {"type": [plain[t.typeName()], "null"]}
+
+    return of(T.StructType.fromDDL(ddl))

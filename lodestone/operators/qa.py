@@ -170,3 +170,37 @@ def parity(a: DataFrame, b: DataFrame, key: str, vector: str) -> DataFrame:
 
     both = a.select(key, F.col(vector).alias("_a")).join(b.select(key, F.col(vector).alias("_b")), key)
     return both.select(cosine(F.col("_a"), F.col("_b")).alias("c")).agg(F.min("c").alias("lowest"), F.avg("c").alias("mean"))
+
+
+def review_entry(entries: DataFrame, sig: str) -> DataFrame:
+    """One entry with its neighbours in the volume: names and the first 200 characters of their texts."""
+    w = Window.partitionBy("volume").orderBy("seq")
+    near = lambda f, c: f(c).over(w)
+    rows = entries.select(
+        "*",
+        near(F.lag, "headword").alias("previous_headword"),
+        near(F.lead, "headword").alias("next_headword"),
+        F.substring(near(F.lag, "text"), 1, 200).alias("previous_text"),
+        F.substring(near(F.lead, "text"), 1, 200).alias("next_text"),
+    )
+    return rows.where(F.col("sig") == sig)
+
+
+def decide(decisions: DataFrame, new: DataFrame) -> DataFrame:
+    """Decisions with the new ones put in by signature; the latest counts."""
+    from lodestone.sources.sinks import upsert_latest
+
+    return upsert_latest(decisions, new, ["sig"], "ts")
+
+
+def review_stats(entries: DataFrame, decisions: DataFrame) -> DataFrame:
+    """How many entries of each verdict there are and how many are decided, by action."""
+    rows = entries.select("sig", "verdict").join(decisions.select("sig", "action"), "sig", "left")
+    return rows.groupBy("verdict", "action").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "verdict", "action")
+
+
+def coverage_gaps(pages: DataFrame) -> DataFrame:
+    """Printed pages that are missing between the first and the last of a volume."""
+    from lodestone.operators.relational import missing_numbers
+
+    return missing_numbers(pages.where("printed_page IS NOT NULL"), "volume", "printed_page")

@@ -208,3 +208,21 @@ def fuzzy_labels(labels: DataFrame, terms: DataFrame, n: int = 3) -> DataFrame:
     known = labels.select("label").distinct().withColumn("block", F.substring(F.lower("label"), 1, 2))
     hits = asked.join(known, "block").where(F.lower("label").startswith(F.col("head")))
     return hits.withColumn("rank", F.row_number().over(Window.partitionBy("term").orderBy("label"))).where(F.col("rank") <= n).select("term", "label", "rank")
+
+
+# The demonstration places (name, country, latitude, longitude).
+DEMO = (
+    ("Lutterworth", "GB", None, None), ("Luristan", "IR", None, None), ("Luton", "GB", None, None), ("Macao", "MO", 22.19, 113.50),
+    ("Luroe", "NO", 66.39, 12.92), ("Lutry", "CH", None, None), ("Lusatia", "DE", None, None), ("Lustleigh", "GB", None, None),
+)
+
+
+def demo_places(spark) -> DataFrame:
+    """Eight places to try the cascade on."""
+    rows = [(f"demo-{i}", *p, [], "demo") for i, p in enumerate(DEMO, 1)]
+    return spark.createDataFrame(rows, "key string, name string, country_code string, lat double, lon double, parents array<string>, status string")
+
+
+def score_gaps(matched: DataFrame) -> DataFrame:
+    """How far the best area lay behind the best hit: count, mean and largest gap."""
+    return matched.where("gap IS NOT NULL").agg(F.count("*").alias("n"), F.avg("gap").alias("mean_gap"), F.max("gap").alias("max_gap"))

@@ -153,3 +153,24 @@ def natural_key(name: Column) -> Column:
 def bucket_cost(tokens: Column, places: Column, calls: Column, price_in: float, price_cached: float, price_out: float, prefix: int = 3000, out_per_place: int = 250, discount: float = 0.5) -> Column:
     """Cost of a group of requests: input, cached prompt prefix of each call, and output, in units per million tokens."""
     return (tokens / 1e6 * price_in + calls * prefix / 1e6 * price_cached + places * out_per_place / 1e6 * price_out) * discount
+
+
+def random_sample(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
+    """``n`` rows by the hash of their key and a seed (a sampling operator): the same rows however the table is partitioned."""
+    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+
+
+def top_counts(df: DataFrame, by: list[str], n: int | None = None) -> DataFrame:
+    """Group counts, largest first, ties by key; the first ``n`` if asked for (a top-k report)."""
+    counts = df.groupBy(*by).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *by)
+    return counts.limit(n) if n else counts
+
+
+def point_in_boxes(points: DataFrame, boxes: DataFrame, by: str) -> DataFrame:
+    """Points (x, y) inside some box (x0, y0, x1, y1) of their group."""
+    on = (F.col("p." + by) == F.col("b." + by)) & F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
+    return points.alias("p").join(boxes.alias("b"), on, "left_semi")
+
+
+def box_union(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.groupBy(*by).agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))

@@ -954,3 +954,96 @@ def event_windows(spark, d):
 )
 def sessions(spark, d):
     return ingest.sessions(table(spark, d, "events"), "ts", "user_id")
+
+
+# --- more of the same families ---------------------------------------------------------------------------------------
+
+
+@query("top_counts", "SELECT event_type, user_id % 5 AS bucket, count(*) AS n FROM events GROUP BY ALL ORDER BY n DESC, event_type, bucket LIMIT 8")
+def top_counts(spark, d):
+    return rel.top_counts(table(spark, d, "events").select("event_type", (F.col("user_id") % 5).alias("bucket")), ["event_type", "bucket"], 8)
+
+
+@query("median_values", "SELECT event_type, median(value) AS middle, max(length(props)) AS longest, count(*) AS n FROM events GROUP BY 1")
+def median_values(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(F.median("value").alias("middle"), F.max(F.length("props")).cast("long").alias("longest"), F.count("*").alias("n"))
+
+
+@query(
+    "box_union",
+    "SELECT l_suppkey, min(l_partkey) AS x0, min(l_linenumber) AS y0, max(l_partkey + 10) AS x1, max(l_linenumber + 2) AS y1 FROM lineitem GROUP BY 1",
+)
+def box_union(spark, d):
+    boxes = table(spark, d, "lineitem").select("l_suppkey", F.col("l_partkey").alias("x0"), F.col("l_linenumber").alias("y0"), (F.col("l_partkey") + 10).alias("x1"), (F.col("l_linenumber") + 2).alias("y1"))
+    return rel.box_union(boxes, ["l_suppkey"])
+
+
+@query(
+    "point_in_boxes",
+    """
+    WITH b AS (SELECT s_nationkey AS n, s_suppkey % 300 AS x0, s_suppkey % 200 AS y0, s_suppkey % 300 + 150 AS x1, s_suppkey % 200 + 400 AS y1 FROM supplier)
+    SELECT c_custkey, c_nationkey FROM customer WHERE EXISTS (SELECT 1 FROM b WHERE n = c_nationkey AND c_custkey % 500 BETWEEN x0 AND x1 AND c_custkey % 700 BETWEEN y0 AND y1)
+    """,
+)
+def point_in_boxes(spark, d):
+    s = F.col("s_suppkey")
+    boxes = table(spark, d, "supplier").select(F.col("s_nationkey").alias("c_nationkey"), (s % 300).alias("x0"), (s % 200).alias("y0"), (s % 300 + 150).alias("x1"), (s % 200 + 400).alias("y1"))
+    asked = table(spark, d, "customer").select("c_custkey", "c_nationkey", (F.col("c_custkey") % 500).alias("x"), (F.col("c_custkey") % 700).alias("y"))
+    return rel.point_in_boxes(asked, boxes, "c_nationkey").select("c_custkey", "c_nationkey")
+
+
+@query("first_wins", "SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) AS first_priority, arg_max(o_orderpriority, o_orderkey) AS last_priority FROM orders GROUP BY 1")
+def first_wins(spark, d):
+    return table(spark, d, "orders").groupBy("o_custkey").agg(F.min_by("o_orderpriority", "o_orderkey").alias("first_priority"), F.max_by("o_orderpriority", "o_orderkey").alias("last_priority"))
+
+
+@query("shard_predicate", "SELECT doc_id, length(text)::BIGINT AS n FROM documents WHERE lang IN ('en', 'de') AND text IS NOT NULL AND doc_id % 8 = 3")
+def shard_predicate(spark, d):
+    return table(spark, d, "documents").where(F.col("lang").isin("en", "de") & F.col("text").isNotNull() & F.expr("doc_id % 8 = 3")).select("doc_id", F.length("text").cast("long").alias("n"))
+
+
+@query(
+    "three_table_join",
+    """
+    SELECT l_orderkey, l_linenumber, o_orderstatus, c_name FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey WHERE l_quantity < 3
+    """,
+)
+def three_table_join(spark, d):
+    rows = table(spark, d, "lineitem").where("l_quantity < 3").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return rows.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left").select("l_orderkey", "l_linenumber", "o_orderstatus", "c_name")
+
+
+@query(
+    "review_stats",
+    """
+    SELECT c_mktsegment AS verdict, d.a AS action, count(*) AS n FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderstatus) AS a FROM orders GROUP BY 1) d ON d.o_custkey = c_custkey GROUP BY ALL
+    """,
+)
+def review_stats(spark, d):
+    entries = table(spark, d, "customer").select(F.col("c_custkey").alias("sig"), F.col("c_mktsegment").alias("verdict"))
+    decisions = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("sig")).agg(F.min("o_orderstatus").alias("action"))
+    return qa.review_stats(entries, decisions)
+
+
+@query("neighbour_names", "SELECT o_orderkey, lag(o_orderstatus) OVER w AS previous_headword, lead(o_orderstatus) OVER w AS next_headword FROM orders WHERE o_custkey = 7 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)")
+def neighbour_names(spark, d):
+    entries = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("volume"), F.col("o_orderkey").alias("seq"), F.col("o_orderstatus").alias("headword"), F.lit("").alias("text"), F.col("o_custkey").cast("string").alias("sig"))
+    return qa.review_entry(entries, "7").select("o_orderkey", "previous_headword", "next_headword")
+
+
+@query(
+    "name_forms_histogram",
+    "SELECT lower(p_name) AS fold, p_brand AS era, count(*) AS n FROM part GROUP BY ALL",
+)
+def name_forms_histogram(spark, d):
+    return table(spark, d, "part").groupBy(F.lower("p_name").alias("fold"), F.col("p_brand").alias("era")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "volume_titles",
+    "SELECT n_nationkey, CASE WHEN n_nationkey BETWEEN 1 AND 12 THEN 'Volume ' || (['I','II','III','IV','V','VI','VII','VIII','IX','X','XI','XII'])[n_nationkey] ELSE 'Volume ' || n_nationkey END AS title, n_nationkey::VARCHAR AS volume FROM nation",
+)
+def volume_titles(spark, d):
+    name = F.concat(F.lit("book-v"), F.col("n_nationkey").cast("string"), F.lit("-ocr.txt"))
+    volume = tx.volume_of(name)
+    return table(spark, d, "nation").select("n_nationkey", tx.volume_title(volume).alias("title"), volume.alias("volume"))

@@ -196,3 +196,11 @@ def printed_page_guess(text: Column) -> Column:
     lines = F.slice(F.filter(F.transform(F.split(text, "\n"), F.trim), lambda s: s != ""), 1, 6)
     bare = F.get(F.filter(lines, lambda s: s.rlike(r"^\d{1,3}$") & ~s.rlike("^0+$")), F.lit(0)).try_cast("int")
     return F.coalesce(mark, bare)
+
+
+def orientation_issues(issues: DataFrame) -> DataFrame:
+    """(plate, degrees) that reports of an issue tracker (title, body) ask for: the plate from the title or body, a turn of 90, 180 or 270."""
+    text = F.concat_ws("\n", "title", "body")
+    plate = F.nullif(F.regexp_extract(text, r"(?i)plate[:\s#]+([\w\-]+)", 1), F.lit(""))
+    degrees = F.regexp_extract(text, r"(?i)(?:rotate|turn)\D{0,20}(90|180|270)", 1).try_cast("int")
+    return issues.select(plate.alias("plate"), degrees.alias("degrees")).where("plate IS NOT NULL AND degrees IS NOT NULL")

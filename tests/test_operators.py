@@ -304,6 +304,34 @@ def test_fixed_size_search(spark):
         search.nearest(docs, docs, "id", "text", max_queries=1)
 
 
+def test_random_sample_does_not_depend_on_partitions(spark):
+    a, b = (rel.random_sample(spark.range(500).repartition(n), 30, 7, "id") for n in (1, 9))
+    assert [r.id for r in a.collect()] == [r.id for r in b.collect()]
+
+
+def test_strict_schema():
+    found = nested.strict_schema("name string, places array<struct<lat:double>>")
+    assert found["required"] == ["name", "places"] and found["properties"]["places"]["items"] == {"type": "object", "properties": {"lat": {"type": ["number", "null"]}}, "required": ["lat"], "additionalProperties": False}
+
+
+def test_orientation_issues(spark):
+    issues = spark.createDataFrame([("Plate v1-12 is sideways", "please rotate by 90 degrees"), ("other", "x")], "title string, body string")
+    assert [tuple(r) for r in readers.orientation_issues(issues).collect()] == [("v1-12", 90)]
+
+
+def test_decide_and_gaps(spark):
+    old = spark.createDataFrame([("s", "keep", "1")], "sig string, action string, ts string")
+    new = spark.createDataFrame([("s", "reject", "2"), ("t", "keep", "2")], "sig string, action string, ts string")
+    assert {(r.sig, r.action) for r in qa.decide(old, new).collect()} == {("s", "reject"), ("t", "keep")}
+    pages = spark.createDataFrame([("v", 1), ("v", 4), ("v", None)], "volume string, printed_page int")
+    assert sorted(r.printed_page for r in qa.coverage_gaps(pages).collect()) == [2, 3]
+
+
+def test_demo_places(spark):
+    rows = reconcile.reconcile(reconcile.demo_places(spark), fixtures.gazetteer(spark), reconcile.API_PASSES).collect()
+    assert {r.name: r.recon_pass for r in rows}["Lutterworth"] == "1-exact-cc"
+
+
 # --- streaming -------------------------------------------------------------------------------------------------------
 
 
