@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from lodestone.operators.relational import with_position
+
 
 def terms_of(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
@@ -55,15 +62,52 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int = 5, max_queries: int = 1000) -> DataFrame:
-    """The ``k`` nearest vectors of each query by cosine (a top-k report).  The query set is counted and must be small; it is sent to all tasks."""
+def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int = 5, block: int = 2048) -> DataFrame:
+    """The ``k`` nearest vectors of each query by cosine, exactly (a top-k report; ties by key).
+
+    Queries are taken in blocks of bounded size; each block goes to all tasks as one matrix, every task keeps its own best ``k`` a query, and
+    only those are exchanged.  Null and zero vectors are nobody's neighbour.
+    """
+    asked = with_position(queries.select(key, vector), key, "_i")
     n = queries.count()
-    if n > max_queries:
-        raise ValueError(f"{n} queries; ask in sets of at most {max_queries}")
-    asked = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
-    pairs = vectors.join(F.broadcast(asked), F.lit(True)).select("query_id", key, cosine(F.col("_q"), F.col(vector)).alias("similarity"))
+    kind = vectors.schema[key].dataType
+    out = []
+    for lo in range(0, max(n, 1), block):
+        rows = asked.where(F.col("_i").between(lo, lo + block - 1)).select(key, vector).collect()
+        out.append(_best_of_block(vectors, key, vector, kind, [r[0] for r in rows], [r[1] for r in rows], k))
     w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), key)
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return reduce(DataFrame.unionByName, out).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _best_of_block(vectors: DataFrame, key: str, vector: str, kind: T.DataType, ids: list, rows: list, k: int) -> DataFrame:
+    ok = [i for i, r in enumerate(rows) if r is not None and any(r)]
+    matrix = np.array([rows[i] for i in ok], np.float64) if ok else np.zeros((0, 0))
+    if ok:
+        matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    names = np.array([ids[i] for i in ok])
+    shared = vectors.sparkSession.sparkContext.broadcast((names, matrix))
+    schema = T.StructType([T.StructField("query_id", kind), T.StructField(key, kind), T.StructField("similarity", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, q = shared.value
+        for batch in batches:
+            table = pa.Table.from_batches([batch]).drop_null()
+            if not len(asked) or not table.num_rows:
+                continue
+            column = table.column(vector).combine_chunks()
+            flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(table.num_rows, -1)
+            size = np.linalg.norm(flat, axis=1)
+            keys = table.column(key).to_numpy()
+            order = np.argsort(keys, kind="stable")
+            order = order[size[order] > 0]
+            flat, keys = flat[order] / size[order][:, None], keys[order]
+            for lo in range(0, len(q), 256):
+                like = np.round(q[lo : lo + 256] @ flat.T, 12)
+                best = np.argsort(-like, axis=1, kind="stable")[:, :k]
+                who = np.repeat(asked[lo : lo + 256], best.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(keys[best.ravel()]), pa.array(np.take_along_axis(like, best, axis=1).ravel())], names=["query_id", key, "similarity"])
+
+    return vectors.select(key, vector).mapInArrow(run, schema)
 
 
 def locate(entries: DataFrame, written: DataFrame, key: str, position: str, size: int = 150) -> DataFrame:

@@ -300,8 +300,22 @@ def test_stage_registry(spark, tmp_path):
 def test_fixed_size_search(spark):
     docs = spark.createDataFrame([(1, "the cat sat"), (2, "the dog"), (3, "cat and dog cat")], "id bigint, text string")
     assert {r.id for r in search.bm25(docs, "id", "text", ["cat"]).collect()} == {1, 3}
-    with pytest.raises(ValueError, match="queries"):
-        search.nearest(docs, docs, "id", "text", max_queries=1)
+
+
+def test_nearest_in_blocks(spark):
+    rng = np.random.default_rng(0)
+    rows = rng.normal(size=(150, 8))
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rows)] + [(900, None), (901, [0.0] * 8)], "id long, v array<double>")
+    found = {(r.query_id, r.rank): r.id for r in search.nearest(df.where("id % 20 = 0"), df, "id", "v", 3, block=3).collect()}
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    for q in range(0, 150, 20):
+        assert [found[q, k] for k in (1, 2, 3)] == np.argsort(-(unit @ unit[q]))[:3].tolist()
+
+
+def test_review_entry(spark):
+    rows = spark.createDataFrame([("v", i, f"H{i}", "text", f"s{i}") for i in range(3)], "volume string, seq int, headword string, text string, sig string")
+    row = qa.review_entry(rows, "s1").first()
+    assert (row.previous_headword, row.next_headword) == ("H0", "H2")
 
 
 def test_random_sample_does_not_depend_on_partitions(spark):
