@@ -1,11 +1,12 @@
 """Benchmark decontamination by SimHash of item-sized windows, with built-in functions only.
 
-A window is as long as a benchmark item, in words of the lower-cased text.  Windows are compared with the items of their length by the
+A window is as long as a benchmark item, in words of the lower-cased text; a shorter text is one window.  Windows are compared with the items of their length by the
 similarity of their bags of five-word shingles (sum of smaller counts over sum of larger counts; a text of fewer words is one shingle).
 
 1. Only windows that share a shingle with an item can reach the threshold, so windows are laid where a document's shingle equals one of an item:
    the shared shingle fixes where the item would start.  This loses nothing and leaves out almost every position.  A bit table of the items'
-   shingles is looked up in the document's own row, so only hits, with the words around them, are exploded.
+   shingles is looked up in the document's own row, so only hits, with the words around them, are exploded.  A window that reaches the
+   threshold shares so many shingles that looking at every few words is enough (``safe_stride``).
 2. Each window has a 64-bit SimHash of its shingles.  Fingerprints are cut in ``radius + 1`` blocks; two within ``radius`` bits agree in one
    block at least, so windows meet items of their length on (block, bits) and all pairs within the radius are found.
 3. The pairs' similarity is computed exactly from the shingles themselves.
@@ -18,19 +19,40 @@ repeated items match each; with an empty table there are no matches.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.quality_rules import let, words_of
+from lodestone.llm.shared import fresh
 
 BROADCAST_ROWS = 2_000_000
 LANES = 0x0001000100010001
 
 
-def shingle_hashes(words: Column, size: int) -> Column:
-    """Hashes of all runs of ``size`` words; an empty array for shorter texts."""
-    each = F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.xxhash64(F.lit(size), *[F.get(words, i + k) for k in range(size)]))
-    return F.when(F.size(words) >= size, each).otherwise(F.array().cast("array<bigint>"))
+def shingle_hashes(words: Column, size: int, stride: int = 1) -> Column:
+    """Hashes of the runs of ``size`` words at every ``stride``-th word, each word hashed once; an empty array for shorter texts."""
+
+    def runs(h: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.size(h) - size, F.lit(stride)), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))
+        return F.when(F.size(h) >= size, each).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), runs)
+
+
+def safe_stride(shingle_counts: list[int], threshold: float, most: int = 4) -> int:
+    """Largest stride at which a window that reaches the threshold still has a shared shingle at a looked-up position.
+
+    Of m shingles such a window lacks at most m (1 - t) / (1 + t), so one of its m // stride positions at least is shared if those are more.
+    Windows cut by the end of a text have t times the item's shingles at least.
+    """
+    longest = max(shingle_counts)
+    for stride in range(most, 1, -1):
+        least = max(1, math.floor(threshold * min(shingle_counts)))
+        if all(m // stride > math.floor(m * (1 - threshold) / (1 + threshold) + 1e-9) for m in range(least, max(longest, least) + 1)):
+            return stride
+    return 1
 
 
 def shingles(words: str, size: int) -> str:
@@ -84,34 +106,33 @@ def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: f
         .select("item_id", "item_words", F.size("item_words").alias("n"), F.expr(shingles("item_words", shingle)).alias("item_shingles"))
     )
     known = with_fingerprint(known, "item_shingles", "item_fp")
-    sizes = sorted(r[0] for r in known.select(F.least("n", F.lit(shingle))).distinct().collect())
-    if not sizes:
-        sizes = [shingle]
-
-    def anchors_of(words: Column) -> Column:
-        def of(size: int) -> Column:
-            return F.transform(shingle_hashes(words, size), lambda h, i: F.struct(F.lit(size).alias("size"), i.alias("spot"), h.alias("h")))
+    lengths = [r[0] for r in known.select("n").distinct().collect()] or [shingle]
+    sizes = sorted({min(n, shingle) for n in lengths})
+    stride = safe_stride([max(1, n - shingle + 1) for n in lengths], threshold)
 
-        parts = [of(s) for s in sizes]
-        return F.concat(*parts) if len(parts) > 1 else parts[0]
+    def item_spots(size: int) -> Column:
+        spots = F.transform(shingle_hashes(F.col("item_words"), size), lambda h, i: F.struct(i.alias("offset"), h.alias("h")))
+        return F.when(F.least("n", F.lit(shingle)) == size, spots)
 
-    item_anchors = known.select("n", F.explode(let(F.col("item_words"), anchors_of)).alias("a")).where(F.col("a.size") == F.least("n", F.lit(shingle)))
-    item_anchors = item_anchors.select(F.col("a.h").alias("h"), F.col("n").alias("window"), F.col("a.spot").alias("offset")).distinct()
+    item_anchors = known.select(F.col("n").alias("window"), F.explode(F.coalesce(*[item_spots(s) for s in sizes])).alias("a"))
+    item_anchors = item_anchors.select("a.h", "window", "a.offset").distinct()
     n_anchors = item_anchors.count()
     small = F.broadcast if n_anchors <= BROADCAST_ROWS else (lambda df: df)
-    longest = known.agg(F.max("n")).first()[0] or 1
+    longest = max(lengths)
     size_log = min(24, max(12, (64 * n_anchors).bit_length()))
     text = docs.select("doc_id", words_of(F.lower(F.coalesce("text", F.lit("")))).alias("words"))
 
     def spots_of(words: Column) -> Column:
-        hits = F.filter(anchors_of(words), lambda a: maybe_known(a["h"], size_log))
-        around = lambda a: F.greatest(a["spot"] - longest, F.lit(0))
-        return F.transform(hits, lambda a: F.struct(a["spot"].alias("spot"), a["h"].alias("h"), around(a).alias("first"), F.slice(words, around(a) + 1, 2 * longest).alias("near")))
+        around = lambda i: F.greatest(i - longest, F.lit(0))
+        spot = lambda hashes: lambda i: F.struct((i * stride).alias("spot"), F.get(hashes, i).alias("h"), around(i * stride).alias("first"), F.size(words).alias("total"), F.slice(words, around(i * stride) + 1, 2 * longest).alias("near"))
+        known_at = lambda hashes: F.filter(F.transform(hashes, lambda h, i: F.when(maybe_known(h, size_log), i).otherwise(-1)), lambda i: i >= 0)
+        parts = [let(shingle_hashes(words, s, stride), lambda hashes: F.transform(known_at(hashes), spot(hashes))) for s in sizes]
+        return F.concat(*parts) if len(parts) > 1 else parts[0]
 
     table = bit_table(item_anchors.select("h"), size_log)
     spots = text.select("doc_id", table.scalar().alias(TABLE), "words").select("doc_id", let(F.col("words"), spots_of).alias("spots"))
     spots = spots.where(F.size("spots") > 0).select("doc_id", F.explode("spots").alias("a")).select("doc_id", "a.*")
-    start = F.greatest(F.col("spot") - F.col("offset"), F.lit(0))
+    start = F.greatest(F.least(F.col("spot") - F.col("offset"), F.col("total") - F.col("window")), F.lit(0))
     windows = (
         spots.join(small(item_anchors), "h")
         .select("doc_id", "window", start.alias("start"), F.array_join(F.slice("near", start - F.col("first") + 1, F.col("window")), " ").alias("text"))
@@ -135,5 +156,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: f
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that contain no item."""
-    leaked = find_leaks(docs, items, **options).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(F.col("leaked_id")), "left_anti")
+    key = fresh(docs, "leaked_id")
+    leaked = find_leaks(docs, items, **options).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col(key)), "left_anti")

@@ -39,8 +39,12 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+WHITE = " \t\n\x0b\x0c\r"
+
+
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE), lambda w: w != "")
+    """Words of a text; trimmed first, so that splitting leaves no empty ones."""
+    return let(F.btrim(text, F.lit(WHITE)), lambda bare: F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE)))
 
 
 def repeated_words(words: Column) -> Column:
@@ -84,7 +88,7 @@ def text_measures(docs: DataFrame) -> DataFrame:
                 words_of(F.col("text")),
                 lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words")),
             ).alias("w"),
-            F.length(F.translate("text", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
+            F.length(F.translate("text", WHITE, "")).cast("long").alias("word_chars"),
             (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
             let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))).alias("x"),
         )
