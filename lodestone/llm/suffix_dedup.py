@@ -11,6 +11,8 @@ Second digits.  For the anchors left, the text around them is dealt by the same
 ``threshold - k`` before the anchor share the bytes after it, the others share those before it; eight-byte digits of these split the
 groups, then the survivors' windows are listed and split on by the digits of all ``threshold`` bytes, which is exact.
 
+Copies of a whole text are settled first, by digest, and have no anchors.
+
 Volume: an anchor costs about nine bytes in the first exchange.  Before either exchange each task settles what it can alone: anchors
 that it sees in two documents are known to be repeated (only a mark goes on), and among equal surroundings only the smallest doc_id goes
 on, the others being repeats already.  So a passage that a third of all documents share sends a row a task, not a row a document.
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import mix64, utf8_view
+from lodestone.llm.shared import cut
 
 BLOCK = 1 << 20
 PACKER = pa.Codec("zstd", compression_level=4)
@@ -149,13 +152,15 @@ DEALT = "bucket int, kind int, blob binary"
 
 
 def deal_anchors(docs: DataFrame, threshold: int, k: int, buckets: int) -> DataFrame:
-    """Packed anchors by bucket: kind 0 to be compared, kind 1 already known to be repeated."""
+    """Packed anchors by bucket, without those of copies (``is_copy``): kind 0 to be compared, kind 1 already known to be repeated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets, _ = utf8_view(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             h, row, pos = anchors(data, offsets, threshold, k)
+            used = (ids != NO_ID) & batch.column("is_copy").is_null().to_numpy(zero_copy_only=False)
+            h, row, pos = h[used[row]], row[used[row]], pos[used[row]]
             if not len(h):
                 continue
             doc = ids[row].astype(np.int64)
@@ -179,7 +184,7 @@ def deal_anchors(docs: DataFrame, threshold: int, k: int, buckets: int) -> DataF
                 out.append((b, 0, pack(low[i].astype(np.uint32), (low[i] >> np.uint64(32)).astype(np.uint8), steps, send_pos[i])))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["bucket", "kind", "blob"])
 
-    return docs.mapInArrow(run, DEALT)
+    return docs.select("doc_id", "text", "is_copy").mapInArrow(run, DEALT)
 
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
@@ -459,9 +464,20 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, with_text: bool = False
     table = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 24, math.ceil(min(size, 1 << 50) / (4 << 20))) if size < 1 << 60 else 1)
-    candidates = repeated_anchors(deal_anchors(table.where(F.col("doc_id") != NO_ID), threshold, k, buckets), buckets)
-    spots = candidates.groupBy("doc_id").agg(F.collect_list("pos").alias("spots"))
     dealt = table.repartition("doc_id")
+    copies = exact_copies(table, threshold)
+    marked = dealt.join(copies.select("doc_id", F.lit(True).alias("is_copy")), "doc_id", "left")  # a filter here would be pushed under the exchange
+    candidates = repeated_anchors(deal_anchors(marked, threshold, k, buckets), buckets)
+    spots = candidates.groupBy("doc_id").agg(F.collect_list("pos").alias("spots"))
     ranges = removals(deal_surroundings(dealt.join(spots, "doc_id"), threshold, k, buckets), threshold, k, buckets)
+    ranges = ranges.unionByName(copies.select("doc_id", F.lit(0).alias("lo"), F.col("n_bytes").cast("int").alias("hi")))
     spans = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     return keep_rest(dealt.join(spans, "doc_id", "left"), with_text)
+
+
+def exact_copies(table: DataFrame, threshold: int) -> DataFrame:
+    """(doc_id, n_bytes) of the documents whose whole text a smaller doc_id has; all their bytes are repeats."""
+    size = F.octet_length("text").cast("long")
+    digests = cut(table.where(F.col("doc_id") != NO_ID).select("doc_id", F.sha2("text", 256).alias("digest"), size.alias("n_bytes")).where(F.col("n_bytes") >= threshold))
+    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last")
+    return cut(digests.join(first, "digest").where("doc_id > first").select("doc_id", "n_bytes").distinct())
