@@ -31,7 +31,7 @@ from lodestone.llm.shared import cut
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Rule -> (least spread, whether it has a lower limit too).
-RULES = {"symbols": (150, False), "dup_lines": (100, False), "repeats": (100, False), "word_len": (10, True)}
+RULES = {"symbols": (100, False), "dup_lines": (170, False), "repeats": (100, False), "word_len": (10, True)}
 
 
 def let(value: Column, body) -> Column:
@@ -228,7 +228,7 @@ WITH base AS (
   SELECT lv, lang, source, rule, max(total) AS total, min(bucket) FILTER (4 * c >= total) AS q1, min(bucket) FILTER (4 * c >= 3 * total) AS q3
   FROM cum GROUP BY ALL
 ), lim AS (
-  SELECT *, 3 * greatest(q3 - q1, CASE rule WHEN 'symbols' THEN 150 WHEN 'word_len' THEN 10 ELSE 100 END) AS s FROM quart
+  SELECT *, 3 * greatest(q3 - q1, CASE rule WHEN 'dup_lines' THEN 170 WHEN 'word_len' THEN 10 ELSE 100 END) AS s FROM quart
 ), wide AS (
   SELECT lv, lang, source, max(total) AS n, max(q3 + s) FILTER (rule = 'symbols') AS hi_symbols, max(q3 + s) FILTER (rule = 'dup_lines') AS hi_dup_lines,
     max(q3 + s) FILTER (rule = 'repeats') AS hi_repeats, max(q3 + s) FILTER (rule = 'word_len') AS hi_word_len, max(q1 - s) FILTER (rule = 'word_len') AS lo_word_len
