@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -78,12 +79,14 @@ class PieceEncoder:
         if len(self.known) > self.capacity:
             self._reset()
         known = self.known
-        new = [p for p in pieces if p not in known]
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
+        number = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, count=len(pieces))
+        missing = np.flatnonzero(number < 0)
+        for lo in range(0, len(missing), 20_000):
+            rows = missing[lo : lo + 20_000]
+            part = [pieces[i] for i in rows.tolist()]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes = np.array([len(x) for x in found], np.int64)
-            ids = np.fromiter((i for x in found for i in x), np.uint32, count=int(sizes.sum()))
+            sizes = np.fromiter(map(len, found), np.int64, count=len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, count=int(sizes.sum()))
             n0, n1 = len(known), len(known) + len(part)
             while n1 > len(self.start):
                 self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
@@ -93,7 +96,8 @@ class PieceEncoder:
             self.start[n0:n1], self.length[n0:n1] = self.used + np.cumsum(sizes) - sizes, sizes
             self.used += len(ids)
             known.update(zip(part, range(n0, n1), strict=True))
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, count=len(pieces))
+            number[rows] = np.arange(n0, n1)
+        return number
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents, offsets of the documents in them)."""
