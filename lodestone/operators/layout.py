@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Rows of a window, columns in half a page and in a full page, widest cell, resolution.
 RUN, BANDS, BANDS_FULL, NARROW, BINS = 4, 2, 3, 0.45, 60
 OCCUPIED = 3  # of RUN rows, six tenths rounded up
 

@@ -30,6 +30,7 @@ class Pass:
 
 PASSES = (Pass("1-exact-in", "exact", "narrow", "within"), Pass("2-phon-in", "phonetic", "narrow", "intersects"), Pass("3-phon-broad", "phonetic", "broad", "intersects"), Pass("4-phon-cc", "phonetic", None, None))
 API_PASSES = (Pass("1-exact-cc", "exact", None, None), Pass("2-phon-cc", "phonetic", None, None))
+# Least scores, preference margin, radius, certainty ranks.
 THRESHOLD, COORD_THRESHOLD, SURE, MARGIN, RADIUS_KM = 80.0, 70.0, 90.0, 1.0, 50.0
 CERTAINTY = {"1-exact-in": 1, "2-phon-in": 2, "3-phon-broad": 3, "4-phon-cc": 4, "coord-match": 1, "coord-only": 5}
 
@@ -166,12 +167,12 @@ def resolve_hierarchy(chains: DataFrame, gazetteer: DataFrame, levels: int = 8,
 
 def select_work(places: DataFrame, retry_unmatched: bool = False) -> DataFrame:
     states = ["extracted", "demo", *(["unmatched"] if retry_unmatched else [])]
-    return places.where(F.col("whg_match_id").isNull() & F.col("status").isin(states))
+    return places.where(F.col("match_id").isNull() & F.col("status").isin(states))
 
 
 def reset(places: DataFrame) -> DataFrame:
     """Matches forgotten, states back to extracted."""
-    empty = {c: F.lit(None).cast(places.schema[c].dataType) for c in ("whg_match_id", "whg_score", "recon_pass", "reconciliation") if c in places.columns}
+    empty = {c: F.lit(None).cast(places.schema[c].dataType) for c in ("match_id", "match_score", "recon_pass", "reconciliation") if c in places.columns}
     return places.withColumns(empty).withColumn("status", F.when(F.col("status").isin("reconciled", "unmatched"), "extracted").otherwise(F.col("status")))
 
 

@@ -16,8 +16,8 @@ ENTRY = (
     "text string, n_tables int, n_also int, table_missing int, see_target string, tokens bigint"
 )
 PLACE = (
-    "place_id bigint, entry_id bigint, ordinal int, name string, extraction string, aat_type_id string, status string, whg_match_id string, lat double, lon double, "
-    "created_at string, reconciliation string, whg_score double, recon_pass string"
+    "place_id bigint, entry_id bigint, ordinal int, name string, extraction string, aat_type_id string, status string, match_id string, lat double, lon double, "
+    "created_at string, reconciliation string, match_score double, recon_pass string"
 )
 LLM_CACHE = "key string, provider string, model string, entry_id bigint, response_json string, usage_json string, created_at string"
 SHARD_LINE = "entry_id bigint, key string, provider string, model string, response_json string, usage string"
