@@ -51,6 +51,13 @@ def score(query_key: Column, key: Column, mode: Column) -> Column:
     return F.when(mode == "exact", F.when(query_key == key, 100.0)).otherwise(edit_score(query_key, key))
 
 
+def reachable_lengths(size: Column, mode: Column, threshold: float, margin: float = MARGIN) -> Column:
+    """Key lengths at which a candidate can come within ``margin`` of the threshold: each unit of difference costs an edit."""
+    share = max(0.01, (threshold - margin) / 100)
+    least, most = F.greatest(F.ceil(size * share - 1e-9), F.lit(1)), F.floor(size / share + 1e-9)
+    return F.when(mode == "exact", F.array(size)).otherwise(F.transform(F.sequence(least, F.greatest(least, most)), lambda n: n.cast("int")))
+
+
 def pass_requests(places: DataFrame, passes: tuple[Pass, ...] = PASSES) -> DataFrame:
     """One row for each place and pass that applies: a pass without its container does not."""
     rank = F.explode(F.array(*[F.struct(F.lit(i).alias("pass_rank"), F.lit(p.label).alias("pass"), F.lit(p.mode).alias("mode"), F.lit(p.container).alias("level"), F.lit(p.relation).alias("relation")) for i, p in enumerate(passes)]))
@@ -85,10 +92,12 @@ def name_cascade(places: DataFrame, gazetteer: DataFrame, passes: tuple[Pass, ..
     ``places`` has key, name, country_code, parents (container ids, broad to narrow).
     """
     names = gazetteer_names(gazetteer).alias("g")
-    asked = pass_requests(places, passes).withColumn("block", F.substring("query_key", 1, 1)).alias("q")
+    asked = pass_requests(places, passes).withColumn("block", F.substring("query_key", 1, 1))
+    asked = asked.withColumn("len", F.explode(reachable_lengths(F.length("query_key"), F.col("mode"), threshold))).alias("q")
     same_country = F.col("q.country_code").isNull() | (F.col("q.country_code") == F.col("g.country_code"))
     inside = F.col("q.container").isNull() | F.array_contains("g.containers", F.col("q.container"))
-    pairs = asked.join(names, (F.col("q.block") == F.col("g.block")) & same_country & inside)
+    same_name = (F.col("q.mode") != "exact") | (F.col("q.query_key") == F.col("g.key"))
+    pairs = asked.join(names, (F.col("q.block") == F.col("g.block")) & (F.col("q.len") == F.length("g.key")) & same_country & inside & same_name)
     scored = pairs.select("q.key", "q.pass_rank", "q.pass", "q.relation", "g.place_id", "g.title", "g.lat", "g.lon", "g.has_geom", score(F.col("q.query_key"), F.col("g.key"), F.col("q.mode")).alias("score"))
     scored = scored.where("score IS NOT NULL").groupBy("key", "pass_rank", "pass", "relation", "place_id", "title", "lat", "lon", "has_geom").agg(F.max("score").alias("score")).withColumn("hit_rank", F.lit(0))
     best = best_candidate(scored, ["key", "pass_rank", "pass", "relation"], threshold)
