@@ -27,6 +27,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct())
+    else:
+        raise RuntimeError(f"components have not settled after {max_rounds} rounds")
     roots = now.select(F.col("b").alias("node")).distinct().join(now.select(F.col("a").alias("node")), "node", "left_anti")
     nodes = now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return nodes.union(roots.select("node", F.col("node").alias("component")))

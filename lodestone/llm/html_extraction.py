@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.gbdt import BoostedTrees, fit_boosted
 from lodestone.llm.html_pages import PageMaker
+from lodestone.llm.shared import small_batches, trimmed
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z][-\w:]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
@@ -302,6 +303,7 @@ def extract_pages(pages: DataFrame, model: BoostedTrees | None = None, pages_at_
     """page_id, url and the main text of every page.  One narrow pass."""
     shared = pages.sparkSession.sparkContext.broadcast(model or default_model())
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, pages_at_once):
@@ -309,4 +311,4 @@ def extract_pages(pages: DataFrame, model: BoostedTrees | None = None, pages_at_
                 texts = extract_batch(part.column("html").to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").mapInArrow(run, "page_id long, url string, text string")
+    return small_batches(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")).mapInArrow(run, "page_id long, url string, text string")

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lodestone.llm.arrow_text import slices
+from lodestone.llm.shared import small_batches, trimmed
 
 LETTER = re.compile(r"[^\W\d_]")
 SCALE = 1024
@@ -200,9 +201,10 @@ def identify_languages(docs: DataFrame, model: PpmModel, temper_bytes: int = 48,
     kept = ["doc_id", *extra]
     schema = T.StructType([*[fields[c] for c in kept], T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = predict_batch(shared.value, batch.column("text"), temper_bytes)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[f.name for f in schema.fields])
 
-    return docs.select(*dict.fromkeys([*kept, "text"])).mapInArrow(run, schema)
+    return small_batches(docs.select(*dict.fromkeys([*kept, "text"]))).mapInArrow(run, schema)

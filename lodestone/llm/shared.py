@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -40,3 +44,33 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def small_batches(df: DataFrame, rows: int = 2500) -> DataFrame:
+    """``df``, with Arrow batches of at most ``rows`` rows in its session, so that a Python worker's memory follows a few megabytes of text."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(key)) > rows:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system; a Python worker is reused, and idle ones should not hold what an earlier task needed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """An Arrow function that gives its memory back when its task ends."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return wrapped

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import slices
 from lodestone.llm.components import connected_components
-from lodestone.llm.shared import cut
+from lodestone.llm.shared import cut, small_batches, trimmed
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -91,16 +91,17 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int
     return out
 
 
-def fingerprint_docs(docs: DataFrame, shingle: int = 3, slice_bytes: int = 4 << 20) -> DataFrame:
+def fingerprint_docs(docs: DataFrame, shingle: int = 3, slice_bytes: int = 1 << 20) -> DataFrame:
     """(doc_id, fp) of every document, one narrow pass."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprints(data, offsets, shingle) for _, _, data, offsets, _ in slices(batch.column("text"), slice_bytes)]
             if found:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(found).view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(run, "doc_id long, fp long")
 
 
 @lru_cache(maxsize=1)
@@ -176,6 +177,7 @@ def golay_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def key_rows(distinct: DataFrame, rows_at_once: int = 4096) -> DataFrame:
     """(key, fp) of all distinct fingerprints, each pair once."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column("fp").to_numpy(zero_copy_only=False)
@@ -230,6 +232,7 @@ def group_links(groups: np.ndarray, fps: np.ndarray, radius: int, small: int = 8
 def link_rows(dealt: DataFrame, radius: int) -> DataFrame:
     """Links of all groups (key, x, y) from rows sorted by group; a group that spans batches is carried over."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: np.ndarray | None = None
 

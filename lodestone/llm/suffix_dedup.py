@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import mix64, utf8_view
-from lodestone.llm.shared import cut
+from lodestone.llm.shared import cut, small_batches, trimmed
 
 BLOCK = 1 << 20
 PACKER = pa.Codec("zstd", compression_level=4)
@@ -154,6 +154,7 @@ DEALT = "bucket int, kind int, blob binary"
 def deal_anchors(docs: DataFrame, threshold: int, k: int, buckets: int) -> DataFrame:
     """Packed anchors by bucket, without those of copies (``is_copy``): kind 0 to be compared, kind 1 already known to be repeated."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets, _ = utf8_view(batch.column("text"))
@@ -184,7 +185,7 @@ def deal_anchors(docs: DataFrame, threshold: int, k: int, buckets: int) -> DataF
                 out.append((b, 0, pack(low[i].astype(np.uint32), (low[i] >> np.uint64(32)).astype(np.uint8), steps, send_pos[i])))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["bucket", "kind", "blob"])
 
-    return docs.select("doc_id", "text", "is_copy").mapInArrow(run, DEALT)
+    return small_batches(docs.select("doc_id", "text", "is_copy")).mapInArrow(run, DEALT)
 
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
@@ -204,6 +205,7 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, byt
 def repeated_anchors(dealt: DataFrame, buckets: int) -> DataFrame:
     """(doc_id, pos) of the anchors that more than one document has."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in by_bucket(batches):
             known = [unpack(blob, (("<i8", 1), ("<u4", 1))) for kind, blob in held if kind == 1]
@@ -264,6 +266,7 @@ def context_columns(threshold: int, k: int) -> tuple:
 def deal_surroundings(found: DataFrame, threshold: int, k: int, buckets: int, at_once: int = 1 << 17) -> DataFrame:
     """From (doc_id, text, spots): packed surroundings of repeated anchors (kind 0) and removals already settled here (kind 1)."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets, _ = utf8_view(batch.column("text"))
@@ -369,6 +372,7 @@ def removals(dealt: DataFrame, threshold: int, k: int, buckets: int, at_once: in
     """(doc_id, lo, hi): byte ranges covered by windows that a smaller doc_id has too."""
     kinds = context_columns(threshold, k)
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def result(doc, lo, hi):
             return pa.RecordBatch.from_arrays([pa.array(doc.astype(np.int64)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["doc_id", "lo", "hi"])
@@ -426,6 +430,7 @@ FINAL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 st
 def keep_rest(joined: DataFrame, with_text: bool) -> DataFrame:
     """Cut the ranges out of each text; counts and checksum, and what is left of the text if asked for."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets, _ = utf8_view(batch.column("text"))

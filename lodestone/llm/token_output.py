@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import ragged_take, slices
-from lodestone.llm.shared import new_folder
+from lodestone.llm.shared import new_folder, small_batches, trimmed
 from lodestone.llm.sstable import SSTableReader, SSTableWriter, filesystem
 
 SPACES = np.zeros(256, bool)
@@ -129,6 +129,7 @@ READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, slice_bytes: int = 6 << 20) -> list[dict]:
     """Write one shard a range partition; returns the shard list in key order, with the ids before each shard."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         enc, fs, root = encoder(tokenizer), *filesystem(folder)
@@ -152,7 +153,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2,
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([first], pa.int64()), pa.array([writer.n_docs], pa.int64()), pa.array([writer.n_ids], pa.int64()), pa.array([part], pa.int32())], names=["shard", "first_id", "n_docs", "n_ids", "part"])
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    shards = sorted((r.asDict() for r in ordered.mapInArrow(run, WRITTEN).collect()), key=lambda r: r["part"])
+    shards = sorted((r.asDict() for r in small_batches(ordered).mapInArrow(run, WRITTEN).collect()), key=lambda r: r["part"])
     before = 0
     for shard in shards:
         shard["before"] = before
@@ -163,6 +164,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2,
 def read_shards(spark, folder: str, shards: list[dict]) -> DataFrame:
     """Read every shard back: identifier, ids before the document, its number of ids and their checksum."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
         for batch in batches:
