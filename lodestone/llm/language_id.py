@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lodestone.llm.arrow_text import slices
-from lodestone.llm.shared import small_batches, trimmed
+from lodestone.llm.shared import release_memory, small_batches, trimmed
 
 LETTER = re.compile(r"[^\W\d_]")
 SCALE = 1024
@@ -160,7 +160,10 @@ def fit_language_model(docs: DataFrame, docs_per_language: int = 240, bytes_per_
         rows = docs.where(F.col("doc_id").isin(ids) & F.col("lang").isNotNull() & F.col("text").isNotNull())
         for lang, text in rows.select("lang", F.substring("text", 1, bytes_per_doc)).orderBy("lang", "doc_id").collect():
             samples.setdefault(lang, []).append(text.encode()[:bytes_per_doc])
-    return fit_ppm(samples, min_count)
+    model = fit_ppm(samples, min_count)
+    del samples
+    release_memory()
+    return model
 
 
 def predict_batch(model: PpmModel, column: pa.Array, temper_bytes: int, slice_bytes: int = 4 << 20) -> tuple[list[str], np.ndarray]:

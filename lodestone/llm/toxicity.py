@@ -19,6 +19,7 @@ the UTF-8 text.
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import slices
+from lodestone.llm.shared import release_memory, small_batches, trimmed
 from lodestone.llm.simhash_dedup import WHITE
 
 PREFIXES = (3, 4, 5, 6)
@@ -110,18 +112,26 @@ def induce_lexicon(docs: list[list[str]], toxic: list[int], least_evidence: floa
     Support is counted in distinct preceding words, not in documents: a word that copies of one text share has one context only.
     ``least_evidence`` bounds the log-likelihood ratio of the feature's split between the classes from below.
     """
-    contexts: dict[str, set[str]] = {}
-    seen: Counter = Counter()
     n1 = max(1, sum(toxic))
     n0 = max(1, len(toxic) - n1)
+    long = lambda w: [f for f in features(w) if len(f) > 4 or f[0] == "="]
+    often: Counter = Counter()
+    for words, label in zip(docs, toxic, strict=True):
+        if label:
+            for word, n in Counter(words).items():
+                for f in long(word):
+                    often[f] += n
+    contexts: dict[str, set[str]] = {f: set() for f, n in often.items() if n >= 3}
+    del often
+    seen: Counter = Counter()
     for words, label in zip(docs, toxic, strict=True):
         if label:
             for before, word in zip(["", *words], words):
-                for f in features(word):
-                    if len(f) > 4 or f[0] == "=":
-                        contexts.setdefault(f, set()).add(before)
+                for f in long(word):
+                    if f in contexts:
+                        contexts[f].add(before)
         else:
-            seen.update({f for w in set(words) for f in features(w)})
+            seen.update({f for w in set(words) for f in long(w) if f in contexts})
     share = n1 / (n1 + n0)
     found = set()
     for f, before in contexts.items():
@@ -137,7 +147,9 @@ def induce_lexicon(docs: list[list[str]], toxic: list[int], least_evidence: floa
 def fit_toxicity(texts: list[str], toxic: list[int], rounds: int = 60, least_df: int = 4) -> ToxicityModel:
     if not texts or len(set(toxic)) < 2:
         return ToxicityModel({}, 0.0, np.zeros(5), None)
-    docs = [[normal(w) for w in t.split()] for t in texts]
+    known: dict[str, str] = {}  # one string a word, however often it occurs
+    docs = [[known[w] if w in known else known.setdefault(w, sys.intern(normal(w))) for w in t.split()] for t in texts]
+    del known
     lexicon = induce_lexicon(docs, toxic)
     types: dict[str, int] = {}
     token_type = np.array([types.setdefault(w, len(types)) for d in docs for w in d], np.int64)
@@ -152,8 +164,10 @@ def fit_toxicity(texts: list[str], toxic: list[int], rounds: int = 60, least_df:
         for f in fs:
             common[f] += n
     number = {f: i for i, f in enumerate(sorted(f for f in df if f in lexicon or common[f] >= least_df * 5))}
-    pair = [(t, number[f]) for t, fs in enumerate(feats) for f in fs if f in number]
-    at, feat = np.array([p[0] for p in pair], np.int64), np.array([p[1] for p in pair], np.int64)
+    used = [[number[f] for f in fs if f in number] for fs in feats]
+    at = np.repeat(np.arange(len(used)), [len(u) for u in used])
+    feat = np.fromiter((i for u in used for i in u), np.int64, count=len(at))
+    del used, df, common
     y = (tagged[token_type] & (np.array(toxic)[doc] == 1)).astype(float)
     first, last = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
     if len(doc):
@@ -222,8 +236,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, n_toxic: int, n_clean: i
     return [t for _, t in found], [picked[d] for d, _ in found]
 
 
-def fit_model(docs: DataFrame, labels: DataFrame, n_toxic: int = 2000, n_clean: int = 3000, chars_per_doc: int = 4000) -> ToxicityModel:
-    return fit_toxicity(*training_sample(docs, labels, n_toxic, n_clean, chars_per_doc))
+def fit_model(docs: DataFrame, labels: DataFrame, n_toxic: int = 1200, n_clean: int = 2000, chars_per_doc: int = 3000) -> ToxicityModel:
+    model = fit_toxicity(*training_sample(docs, labels, n_toxic, n_clean, chars_per_doc))
+    release_memory()
+    return model
 
 
 class WordScores:
@@ -284,6 +300,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, span_at: float = 0.5,
     schema = "doc_id long, score double, spans array<struct<lo: int, hi: int, p: double>>"
     kind = pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("p", pa.float64())])
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = WordScores(shared.value)
         for batch in batches:
@@ -293,4 +310,4 @@ def score_documents(docs: DataFrame, model: ToxicityModel, span_at: float = 0.5,
                 spans = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), pa.array(top)], fields=list(kind))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(score), pa.ListArray.from_arrays(pa.array(at), spans)], names=["doc_id", "score", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(run, schema)
