@@ -157,19 +157,19 @@ def judge_quality(docs: DataFrame, min_docs: int = 100) -> DataFrame:
         out = limits(merged, keys)
         return out.select(*[F.col(k).alias(f"{name}_{k}") for k in keys], F.col("n").alias(f"{name}_n"), *[F.col(c).alias(f"{name}_{c}") for c in names])
 
-    by_source, by_lang, overall = level("s", ["lang", "source"]), level("l", ["lang"]), level("a", [])
+    by_source, by_lang = level("s", ["lang", "source"]), level("l", ["lang"])
+    overall = level("a", []).first().asDict()  # five numbers
     groups = fine.select("lang", "source").union(measured.select("lang", "source")).distinct()
     groups = (
         groups.join(by_source, groups["lang"].eqNullSafe(F.col("s_lang")) & groups["source"].eqNullSafe(F.col("s_source")), "left")
         .join(by_lang, groups["lang"].eqNullSafe(F.col("l_lang")), "left")
-        .join(F.broadcast(overall), F.lit(True), "left")  # one row
     )
     own, lang = F.coalesce(F.col("s_n") >= min_docs, F.lit(False)), F.coalesce(F.col("l_n") >= min_docs, F.lit(False))
     groups = groups.select(
         groups["lang"].alias("g_lang"),
         groups["source"].alias("g_source"),
         F.when(own, "source").when(lang, "lang").otherwise("all").alias("sketch_level"),
-        *[F.when(own, F.col(f"s_{c}")).when(lang, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")).alias(c) for c in names],
+        *[F.when(own, F.col(f"s_{c}")).when(lang, F.col(f"l_{c}")).otherwise(F.lit(overall[f"a_{c}"]).cast("long")).alias(c) for c in names],
     )
     joined = measured.join(groups, measured["lang"].eqNullSafe(F.col("g_lang")) & measured["source"].eqNullSafe(F.col("g_source")), "left")
     checks = [F.col(f"v_{r}") > F.col(f"hi_{r}") for r in RULES] + [F.col(f"v_{r}") < F.col(f"lo_{r}") for r, (_, low) in RULES.items() if low]
