@@ -152,8 +152,9 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2,
             fs.move(temporary, f"{root}/{name}")
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([first], pa.int64()), pa.array([writer.n_docs], pa.int64()), pa.array([writer.n_ids], pa.int64()), pa.array([part], pa.int32())], names=["shard", "first_id", "n_docs", "n_ids", "part"])
 
+    # batches of some 30 MB: pieces repeat within a slice, so smaller ones cost time
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    shards = sorted((r.asDict() for r in small_batches(ordered).mapInArrow(run, WRITTEN).collect()), key=lambda r: r["part"])
+    shards = sorted((r.asDict() for r in small_batches(ordered, 10_000).mapInArrow(run, WRITTEN).collect()), key=lambda r: r["part"])
     before = 0
     for shard in shards:
         shard["before"] = before
