@@ -3,10 +3,11 @@
 A window is as long as a benchmark item, in words of the lower-cased text; a shorter text is one window.  Windows are compared with the items of their length by the
 similarity of their bags of five-word shingles (sum of smaller counts over sum of larger counts; a text of fewer words is one shingle).
 
-1. Only windows that share a shingle with an item can reach the threshold, so windows are laid where a document's shingle equals one of an item:
-   the shared shingle fixes where the item would start.  This loses nothing and leaves out almost every position.  A bit table of the items'
+1. Only windows that share shingles with an item can reach the threshold, so windows are laid around shared shingles: at every start from which
+   the window covers one, wherever the item has it, so that passages in another order are judged too.  A bit table of the items'
    shingles is looked up in the document's own row, so only hits, with the words around them, are exploded.  A window that reaches the
-   threshold shares so many shingles that looking at every few words is enough (``safe_stride``).
+   threshold shares so many shingles that looking at every few words is enough (``safe_stride``), and starts whose windows cover
+   fewer hits than it must have are left out, first by the looked-up positions, then by all of the window's shingles, which loses nothing (``least_hits``).
 2. Each window has a 64-bit SimHash of its shingles.  Fingerprints are cut in ``radius + 1`` blocks; two within ``radius`` bits agree in one
    block at least, so windows meet items of their length on (block, bits) and all pairs within the radius are found.
 3. The pairs' similarity is computed exactly from the shingles themselves.
@@ -55,6 +56,12 @@ def safe_stride(shingle_counts: list[int], threshold: float, most: int = 4) -> i
     return 1
 
 
+def least_hits(shingle_count: Column, stride: int, threshold: float) -> Column:
+    """Known shingles at looked-up positions that a window of ``shingle_count`` shingles has at least if it reaches the threshold."""
+    lacks = F.floor(shingle_count * ((1 - threshold) / (1 + threshold)) + 1e-9)
+    return F.greatest(F.floor(shingle_count / stride) - lacks, F.lit(1))
+
+
 def shingles(words: str, size: int) -> str:
     """SQL for the shingles themselves; the whole text if it is shorter."""
     return f"if(size({words}) >= {size}, transform(sequence(1, size({words}) - {size - 1}), i -> array_join(slice({words}, i, {size}), ' ')), array(array_join({words}, ' ')))"
@@ -111,11 +118,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: f
     stride = safe_stride([max(1, n - shingle + 1) for n in lengths], threshold)
 
     def item_spots(size: int) -> Column:
-        spots = F.transform(shingle_hashes(F.col("item_words"), size), lambda h, i: F.struct(i.alias("offset"), h.alias("h")))
-        return F.when(F.least("n", F.lit(shingle)) == size, spots)
+        return F.when(F.least("n", F.lit(shingle)) == size, shingle_hashes(F.col("item_words"), size))
 
-    item_anchors = known.select(F.col("n").alias("window"), F.explode(F.coalesce(*[item_spots(s) for s in sizes])).alias("a"))
-    item_anchors = item_anchors.select("a.h", "window", "a.offset").distinct()
+    item_anchors = known.select(F.col("n").alias("window"), F.explode(F.coalesce(*[item_spots(s) for s in sizes])).alias("h"))
+    item_anchors = item_anchors.select("h", "window").distinct()
     n_anchors = item_anchors.count()
     small = F.broadcast if n_anchors <= BROADCAST_ROWS else (lambda df: df)
     longest = max(lengths)
@@ -124,21 +130,29 @@ def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: f
 
     def spots_of(words: Column) -> Column:
         around = lambda i: F.greatest(i - longest, F.lit(0))
-        spot = lambda hashes: lambda i: F.struct((i * stride).alias("spot"), F.get(hashes, i).alias("h"), around(i * stride).alias("first"), F.size(words).alias("total"), F.slice(words, around(i * stride) + 1, 2 * longest).alias("near"))
+        reach = longest // stride + 1
+        hits = lambda known, k: F.transform(F.slice(known, F.greatest(k - reach, F.lit(0)) + 1, 2 * reach + 1), lambda i: i * stride)
+        spot = lambda hashes, known: lambda i, k: F.struct((i * stride).alias("spot"), F.get(hashes, i).alias("h"), around(i * stride).alias("first"), F.size(words).alias("total"), hits(known, k).alias("hits"), F.slice(words, around(i * stride) + 1, 2 * longest).alias("near"))
         known_at = lambda hashes: F.filter(F.transform(hashes, lambda h, i: F.when(maybe_known(h, size_log), i).otherwise(-1)), lambda i: i >= 0)
-        parts = [let(shingle_hashes(words, s, stride), lambda hashes: F.transform(known_at(hashes), spot(hashes))) for s in sizes]
+        parts = [let(shingle_hashes(words, s, stride), lambda hashes: let(known_at(hashes), lambda known: F.transform(known, spot(hashes, known)))) for s in sizes]
         return F.concat(*parts) if len(parts) > 1 else parts[0]
 
     table = bit_table(item_anchors.select("h"), size_log)
     spots = text.select("doc_id", table.scalar().alias(TABLE), "words").select("doc_id", let(F.col("words"), spots_of).alias("spots"))
     spots = spots.where(F.size("spots") > 0).select("doc_id", F.explode("spots").alias("a")).select("doc_id", "a.*")
-    start = F.greatest(F.least(F.col("spot") - F.col("offset"), F.col("total") - F.col("window")), F.lit(0))
-    windows = (
-        spots.join(small(item_anchors), "h")
-        .select("doc_id", "window", start.alias("start"), F.array_join(F.slice("near", start - F.col("first") + 1, F.col("window")), " ").alias("text"))
-        .distinct()
-    )
-    windows = windows.withColumn("w", F.split("text", " ")).withColumn("window_shingles", F.expr(shingles("w", shingle))).drop("w", "text")
+    size = F.least("window", F.lit(shingle))
+    count = F.least("window", "total") - size + 1
+    last_start = F.greatest(F.least("spot", F.col("total") - F.col("window")), F.lit(0))
+    first_start = F.least(F.greatest(F.col("spot") - F.col("window") + size, F.lit(0)), last_start)
+    covered = lambda at: F.size(F.filter("hits", lambda p: (p >= at) & (p < at + count)))
+    starts = F.filter(F.sequence(first_start, last_start), lambda at: covered(at) >= least_hits(count, stride, threshold))
+    laid = spots.join(small(item_anchors), "h").select("doc_id", "window", "first", "near", F.explode(starts).alias("start"))
+    windows = laid.select("doc_id", "window", "start", F.array_join(F.slice("near", F.col("start") - F.col("first") + 1, F.col("window")), " ").alias("text")).distinct()
+    hits_in = lambda s: F.size(F.filter(shingle_hashes(F.col("w"), s), lambda h: maybe_known(h, size_log)))
+    known_in = F.coalesce(*[F.when(size == s, hits_in(s)) for s in sizes])
+    windows = windows.withColumn("w", F.split("text", " ")).withColumn(TABLE, table.scalar())
+    windows = windows.where(known_in >= least_hits(F.size("w") - size + 1, 1, threshold)).drop(TABLE)
+    windows = windows.withColumn("window_shingles", F.expr(shingles("w", shingle))).drop("w", "text")
     windows = with_fingerprint(windows, "window_shingles", "window_fp")
     left = windows.select("*", block_keys("window_fp", radius).alias("k")).select("*", "k.block", "k.bits").drop("k")
     right = known.select("item_id", F.col("n").alias("item_n"), "item_shingles", "item_fp", block_keys("item_fp", radius).alias("k"))

@@ -122,6 +122,21 @@ def test_equals_brute_force(spark):
     assert found == slow_leaks(docs, items) and len(found) > 10
 
 
+def test_reordered_passages_equal_brute_force(spark):
+    rng = random.Random(12)
+    word = lambda: f"v{rng.randrange(5000)}"
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([40, 42, 45, 45, 60, 90, 20])]
+    docs = []
+    for d in range(60):
+        leak = split(items[d % 7][1])
+        at = rng.randint(len(leak) // 3, 2 * len(leak) // 3) if d % 2 else len(leak) // 2
+        leak = leak[at:] + [word() for _ in range(d % 5 // 3)] + leak[:at]
+        docs.append((d, " ".join([word() for _ in range(d % 4 * 33)] + leak + [word() for _ in range(d % 3 * 41)])))
+    df, ib = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.similarity for r in dc.find_leaks(df, ib).collect()}
+    assert found == slow_leaks(docs, items) and len(found) > 30
+
+
 def test_short_items(spark):
     items = spark.createDataFrame([(1, "alpha beta"), (2, "one two three four five six"), (3, "solo")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x Alpha\nBETA y"), (2, "alpha x beta"), (3, "say one two three four five six now"), (4, "solo"), (5, "")], "doc_id long, text string")
