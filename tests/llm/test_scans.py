@@ -143,19 +143,36 @@ def test_short_items(spark):
     assert {(r.doc_id, r.item_id) for r in dc.find_leaks(docs, items).collect()} == {(1, 1), (3, 2), (4, 3)}
 
 
-def test_blocks_guarantee_the_radius(spark):
-    rng = random.Random(1)
+def near_and_far(spark):
+    """Items, and windows of their lengths: one in three a copy with words changed, deleted or inserted, repetitive items among them."""
+    rng = random.Random(5)
+    word = lambda: f"v{rng.randrange(3000)}"
+    items = [(i, [word() for _ in range(rng.randint(5, 120))] if i % 10 else ["la", "lo"] * rng.randint(4, 30)) for i in range(200)]
     rows = []
-    for i in range(200):
-        a = rng.getrandbits(63)
-        b = a
-        for bit in rng.sample(range(63), 20):
-            b ^= 1 << bit
-        rows.append((i, a, b))
-    df = spark.createDataFrame(rows, "i long, a long, b long")
-    left = df.select("i", dc.block_keys("a", 20).alias("k"))
-    right = df.select("i", dc.block_keys("b", 20).alias("k"))
-    assert left.join(right, ["i", "k"]).select("i").distinct().count() == 200
+    for i in range(900):
+        words = list(items[i % 200][1])
+        if i % 3 == 0:
+            for _ in range(rng.randint(0, 1 + len(words) // 40)):
+                at = rng.randrange(len(words))
+                words = [words[:at] + ["x"] + words[at + 1 :], words[:at] + words[at + 1 :] + ["y"], words[:at] + ["z"] + words[at:-1]][i // 3 % 3]
+        else:
+            words = [word() for _ in words]
+        rows.append((i, words))
+    return items, rows
+
+
+def test_blocks_guarantee_the_radius(spark):
+    items, rows = near_and_far(spark)
+    known = dc.known_items(spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string"), 5, 0.8).cache()
+    sizes = {r.n: r.blocks for r in known.select("n", "blocks").distinct().collect()}
+    windows = spark.createDataFrame([(i, 0, len(w), sizes[len(w)], 0, w) for i, w in rows], "doc_id long, region long, window int, blocks long, start int, w array<string>")
+    pairs = {(r.doc_id, r.item_id) for r in dc.candidate_pairs(windows, known, 5).collect()}
+    bags = {i: bag(w) for i, w in items}
+    wanted = {(d, i) for d, w in rows for i, x in items if len(x) == len(w) and likeness(bag(w), bags[i]) >= 0.8}
+    strangers = {(d, i) for d, w in rows for i, x in items if len(x) == len(w)} - wanted
+    passed = {(d, i) for d, i in strangers & pairs if likeness(bag(dict(rows)[d]), bags[i]) == 0}
+    print(f"{len(wanted)} pairs wanted, all proposed; {len(pairs) / len(rows):.2f} candidate items a window")
+    assert wanted <= pairs and len(wanted) > 150 and not passed
 
 
 @pytest.mark.parametrize(("counts", "stride"), [([40, 12], 4), ([5], 4), ([3], 2), ([1, 40], 1)])
@@ -183,5 +200,14 @@ def test_query_and_odd_rows(spark, small, odd, clashing, empty):
 
 
 def test_fingerprint_of_equal_bags(spark):
-    rows = spark.createDataFrame([(["a b c", "d e f"],), (["d e f", "a b c"],)], "s array<string>")
-    assert rows.transform(lambda d: dc.with_fingerprint(d, "s", "fp")).select(F.count_distinct("fp")).first()[0] == 1
+    rows = spark.createDataFrame([([5, -7, 9, 9],), ([9, -7, 9, 5],)], "h array<long>")
+    for n in (0, 1, 3):
+        prints = rows.select(F.sort_array(F.expr(dc.fingerprint_blocks("h", f"{n}L"))).alias("k"))
+        assert prints.distinct().count() == 1
+
+
+def test_bits_are_majorities(spark):
+    values = [random.Random(2).getrandbits(63) - (1 << 62) for _ in range(7)]
+    row = spark.createDataFrame([(values,)], "h array<long>").select(F.expr(dc.fingerprint_blocks("h", "1L")).alias("k")).first()
+    bits = sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in values) > 7)
+    assert [(r.block, r.bits & (1 << 64) - 1) for r in row.k] == [(0, bits)]
