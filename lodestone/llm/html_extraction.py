@@ -8,8 +8,10 @@ which nothing under a dropped block is kept, so ancestors and descendants never
 
 The trees are fitted on seeded synthetic pages with known labels (``train_pages`` of them; see html_pages).
 
-Defined results: null or empty html, and pages without main text, give the empty text; scripts, styles, titles, comments and form controls never
-give text; white space (as str.split sees it) in a block becomes one space; copies are each extracted alike; an empty table gives no rows.
+Defined results: null or empty html, and pages without main text, give the empty text; scripts, styles, titles, comments, drawings and form controls never
+give text, and one that is not closed hides nothing after its tag (but for scripts and styles, as in browsers); text outside of all blocks is kept; an
+unfinished tag at the end is dropped; white space (as str.split sees it) in a block becomes one space; blocks as probable to be kept as to be dropped are
+dropped; copies are each extracted alike, columns other than page_id, url and html are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,17 +32,24 @@ from lodestone.llm.gbdt import BoostedTrees, fit_boosted
 from lodestone.llm.html_pages import PageMaker
 from lodestone.llm.shared import small_batches, trimmed
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
+#: A comment, a tag with balanced quotes, a tag up to the next ">", an unfinished tag at the end, a declaration.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)(?:((?:[^>\"'<]++|\"[^\"]*+\"|'[^']*+')*+)>|([^>]*+)(?:>|\Z))|<[!?/][^>]*+(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z][-\w:]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math select option button".split())
+#: Raw text up to the end tag; never main text.  Without an end tag, CODE goes on to the end of the page, of the others the tag alone is skipped.
+RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
+CODE = frozenset("script style".split())
+#: Ordinary markup whose whole subtree is never main text; without an end tag of its own the tag alone is skipped.
+MUTED = frozenset("noscript template svg math select option optgroup datalist button object canvas audio video".split())
+FLAT = frozenset("noscript select datalist button".split())  # not nested in themselves
+OPTIONS = frozenset("option optgroup".split())  # end tags are optional
 BLOCKS = frozenset(
     "html body article main section nav header footer aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption form fieldset figure figcaption blockquote pre address details summary dialog center hgroup search".split()
 )
 CLOSES_P = BLOCKS - {"html", "body", "td", "th", "tr", "thead", "tbody", "tfoot", "caption", "figcaption", "summary"}
 #: A start tag of the key ends an open element of these, unless one of the stops is open inside.
-IMPLIED = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody"}, {"table"})}
+IMPLIED = {"option": ({"option"}, {"select", "datalist", "optgroup"}), "optgroup": ({"option", "optgroup"}, {"select"}), "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody"}, {"table"})}
 TAG_GROUPS = (("article", "main"), ("nav", "search"), ("header", "hgroup"), ("footer",), ("aside",), ("section",), ("div", "center"), ("p",), ("h1",), ("h2", "h3", "h4", "h5", "h6"), ("ul", "ol", "dl"), ("li", "dt", "dd"), ("form", "fieldset", "dialog"), ("table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption"), ("figure", "figcaption"), ("blockquote", "pre"))
 TAG_GROUP = {t: i for i, group in enumerate(TAG_GROUPS) for t in group}
 #: Attribute words (of class, id and role) by group.
@@ -57,6 +67,7 @@ WORD_GROUPS = (
     "wrapper container page row layout col wide box".split(),
 )
 WORD_GROUP = {w: i for i, group in enumerate(WORD_GROUPS) for w in group}
+LOWER = {c: c + 32 for c in range(65, 91)}
 N_TAGS, N_WORDS = len(TAG_GROUPS), len(WORD_GROUPS)
 N_FEATURES = 2 * (N_TAGS + N_WORDS) + 18
 
@@ -70,7 +81,7 @@ class Block:
         self.keep = None
 
 
-def attribute_bits(raw: str, block: Block) -> None:
+def attribute_bits(raw: str, block: Block, labelled: bool) -> None:
     for name, value in ATTRIBUTE.findall(raw):
         name = name.lower()
         value = value.strip("\"'")
@@ -79,113 +90,157 @@ def attribute_bits(raw: str, block: Block) -> None:
                 group = WORD_GROUP.get(word.lower())
                 if group is not None:
                     block.word_bits |= 1 << group
-        elif name == "data-keep":
+        elif labelled and name == "data-keep":
             block.keep = int(value)
 
 
-def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
-    """(blocks in page order, the root first; text segments with the number of their block)."""
-    blocks = [Block("#root", -1, 0, 0)]
-    stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and their blocks
-    segments: list[tuple[int, str]] = []
-    buffer: list[str] = []
-    link_depth, at = 0, 0
-    current = 0
-
-    def flush() -> None:
-        if buffer:
-            text = " ".join("".join(buffer).split())
-            buffer.clear()
+class Parser:
+    """One page: its blocks in page order, the root first, and its text segments with the number of their block.  ``labelled`` pages are the trainer's own."""
+
+    def __init__(self, page: str, labelled: bool):
+        self.page, self.labelled = page, labelled
+        self.blocks = [Block("#root", -1, 0, 0)]
+        self.stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and their blocks
+        self.open: Counter = Counter()  # tags on the stack
+        self.segments: list[tuple[int, str]] = []
+        self.buffer: list[str] = []
+        self.links = self.muted = self.current = 0
+        self.ends: dict[str, int] = {}
+        self.lower: str | None = None
+
+    def flush(self) -> None:
+        if self.buffer:
+            text = " ".join("".join(self.buffer).split())
+            self.buffer.clear()
             if text:
-                segments.append((current, text))
+                self.segments.append((self.current, text))
 
-    def say(raw: str) -> None:
+    def say(self, raw: str) -> None:
+        if self.muted:
+            return
         text = entities.unescape(raw) if "&" in raw else raw
-        buffer.append(text)
-        b = blocks[current]
+        self.buffer.append(text)
+        b = self.blocks[self.current]
         size = len(text)
         b.text += size
         b.words += text.count(" ") + (1 if size else 0)
         b.marks += text.count(".") + text.count(",")
-        if link_depth:
+        if self.links:
             b.link += size
 
-    def close(to: int) -> None:
-        nonlocal current, link_depth
-        for tag, _ in stack[to:]:
-            if tag == "a":
-                link_depth -= 1
+    def push(self, tag: str) -> None:
+        self.stack.append((tag, self.current))
+        self.open[tag] += 1
+        self.links += tag == "a"
+        self.muted += tag in MUTED
+
+    def close(self, to: int) -> None:
+        for tag, _ in self.stack[to:]:
+            self.open[tag] -= 1
+            self.links -= tag == "a"
+            self.muted -= tag in MUTED
             if tag in BLOCKS:
-                flush()
-        del stack[to:]
-        current = stack[-1][1]
-
-    while True:
-        found = TOKEN.search(page, at)
-        if found is None:
-            say(page[at:])
-            break
-        if found.start() > at:
-            say(page[at : found.start()])
-        at = found.end()
-        tag = found.group(2) or found.group(5)
-        if not tag:
-            continue
-        tag = tag.lower()
-        if found.group(1) or found.group(4):
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-            continue
+                self.flush()
+        del self.stack[to:]
+        self.current = self.stack[-1][1]
+
+    def close_last(self, wanted: set[str] | frozenset[str], stops: set[str] | frozenset[str]) -> None:
+        """Ends the innermost open element of ``wanted``, unless one of ``stops`` is open inside it."""
+        if any(self.open[t] for t in wanted):
+            for i in range(len(self.stack) - 1, 0, -1):
+                tag = self.stack[i][0]
+                if tag in wanted:
+                    return self.close(i)
+                if tag in stops:
+                    return None
+        return None
+
+    def ends_after(self, tag: str, at: int) -> bool:
+        """Whether the page has an end tag of this kind after ``at``; for FLAT elements, before another one starts."""
+        if tag not in self.ends:
+            self.lower = self.lower if self.lower is not None else ascii_lower(self.page)
+            self.ends[tag] = self.lower.rfind("</" + tag)
+        if self.ends[tag] < at:
+            return False
+        return tag not in FLAT or self.lower.find("</" + tag, at) < (self.lower.find("<" + tag, at) + 1 or len(self.lower) + 1)
+
+    def start(self, tag: str, raw: str, at: int) -> int:
+        """Takes a start tag; the place after it, or after the raw text it begins."""
+        here = self.blocks[self.current]
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            blocks[current].tags += 1
-            continue
+            here.tags += not self.muted
+            if self.ends_after(tag, at):
+                found = self.lower.find("</" + tag, at)
+                stop = self.page.find(">", found)
+                return stop + 1 if stop >= 0 else len(self.page)
+            return len(self.page) if tag in CODE else at
         if tag == "br":
-            buffer.append(" ")
-            continue
+            self.say(" ")
+            return at
+        if tag in IMPLIED:
+            self.close_last(*IMPLIED[tag])
+        if tag in MUTED:
+            self.blocks[self.current].tags += not self.muted
+            inside = self.open["select"] or self.open["datalist"]
+            if not raw.endswith("/") and (inside if tag in OPTIONS else self.ends_after(tag, at)):
+                self.push(tag)
+            return at
+        if self.muted:
+            if tag not in VOID and not raw.endswith("/"):
+                self.push(tag)
+            return at
         if tag in VOID:
-            blocks[current].tags += 1
+            here.tags += 1
             if tag == "hr":
-                flush()
-            continue
-        raw = found.group(3) or found.group(6) or ""
-        if tag in BLOCKS:
-            if tag in CLOSES_P:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == "p":
-                        close(i)
-                        break
-                    if stack[i][0] in BLOCKS:
-                        break
-            if tag in IMPLIED:
-                ends, stops = IMPLIED[tag]
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in ends:
-                        close(i)
-                        break
-                    if stack[i][0] in stops:
-                        break
-            flush()
-            parent = blocks[current]
-            block = Block(tag, current, parent.depth + 1, parent.children)
-            parent.children += 1
-            if "=" in raw:
-                attribute_bits(raw, block)
-            blocks.append(block)
-            current = len(blocks) - 1
-            stack.append((tag, current))
-        else:
-            blocks[current].tags += 1
-            if tag == "a":
-                link_depth += 1
-                blocks[current].links += 1
+                self.flush()
+            return at
+        if tag not in BLOCKS:
+            here.tags += 1
+            here.links += tag == "a"
             if not raw.endswith("/"):
-                stack.append((tag, current))
-    flush()
-    return blocks, segments
+                self.push(tag)
+            return at
+        if tag in CLOSES_P:
+            self.close_last({"p"}, BLOCKS)
+        self.flush()
+        parent = self.blocks[self.current]
+        block = Block(tag, self.current, parent.depth + 1, parent.children)
+        parent.children += 1
+        if "=" in raw:
+            attribute_bits(raw, block, self.labelled)
+        self.blocks.append(block)
+        self.current = len(self.blocks) - 1
+        self.push(tag)
+        return at
+
+    def run(self) -> tuple[list[Block], list[tuple[int, str]]]:
+        page, at = self.page, 0
+        while found := TOKEN.search(page, at):
+            if found.start() > at:
+                self.say(page[at : found.start()])
+            at = found.end()
+            tag = found.group(2)
+            if not tag:
+                continue
+            tag = tag.lower()
+            if found.group(1):
+                self.close_last({tag}, frozenset())
+            else:
+                at = self.start(tag, found.group(3) or found.group(4) or "", at)
+        if at < len(page):
+            self.say(page[at:])
+        self.flush()
+        return self.blocks, self.segments
+
+
+def ascii_lower(text: str) -> str:
+    """A-Z in lower case, and every place where it was."""
+    return text.translate(LOWER)
+
+
+def parse(page: str, labelled: bool = False) -> tuple[list[Block], list[tuple[int, str]]]:
+    """(blocks in page order, the root first; text segments with the number of their block).  Time is in proportion to the page for any text."""
+    return Parser(page, labelled).run()
 
 
 def node_features(blocks: list[Block]) -> list[list[float]]:
@@ -269,7 +324,7 @@ def train_model(train_pages: int = 1000, seed: int = 11) -> BoostedTrees:
     maker = PageMaker(seed)
     x, y = [], []
     for _ in range(train_pages):
-        blocks, _ = parse(maker.page())
+        blocks, _ = parse(maker.page(), labelled=True)
         x += node_features(blocks)
         kept = [True] * len(blocks)
         for i in range(1, len(blocks)):
@@ -295,7 +350,7 @@ def extract_batch(pages: list[str | None], model: BoostedTrees) -> list[str]:
         blocks, segments = x
         kept = decode(blocks, raw[at : at + len(blocks)])
         at += len(blocks)
-        out.append("\n".join(text for i, text in segments if kept[i] and i))
+        out.append("\n".join(text for i, text in segments if kept[i]))
     return out
 
 

@@ -1,15 +1,22 @@
 """Secret scanning with built-in functions and a random forest that removes false positives.
 
-Candidates are words that look like keys: long runs of key characters with a digit, or something assigned to a telling name.
-Each has its value (without the name, quotes and trailing marks) and its neighbouring words.  The forest judges length, character-class
-transitions, variety, common letter pairs, dictionary coverage, path marks, and the words around.  It is fitted on labelled
-findings: ``n_findings`` seeded cases of known kind (keys of several providers, tokens and passwords in assignments; against them
-commit and file hashes, identifiers, numbers, addresses, paths, placeholders), made and measured by the same expressions.
+Candidates are all values in a word (a run without white space) of these kinds, and their names:
+
+* assigned: what follows a telling name and ``=``, ``:``, ``=>`` or ``:=``, in the same word (query strings, compact JSON) or as the next word.  A quoted
+  value ends at its closing quote, another at the next ``&name=``, ``,name:`` or ``;name=``, or at the word's end without trailing marks;
+* login: the password in ``scheme://user:password@host``;
+* run: 16 or more key characters with a digit, whatever their name, that are not part of an assigned value.
+
+Each has the words around it.  The forest judges length, character-class transitions, variety, common letter pairs, dictionary coverage,
+path marks, and the words around.  It is fitted on labelled
+findings: ``n_findings`` seeded cases of known kind (keys of several providers, tokens, passwords and passphrases in assignments; against them
+commit and file hashes, identifiers, numbers, addresses, paths, variables, placeholders, plain words), made and measured by the same expressions.
 
 No Python runs on the executors.  A text is scanned in its own row; only candidates are exploded.
 
-Defined results: null and empty texts have no findings; a value found twice in a text is two findings; repeated rows are scanned alike; an
-empty table gives no rows.  ``redact_secrets`` returns every document, and replaces each accepted value by ``[SECRET]``.
+Defined results: null and empty texts have no findings; a value found twice in a text is two findings; repeated rows are scanned alike; rows with a null
+doc_id are scanned, with that doc_id; a probability of just ``threshold`` is accepted; extra columns are ignored; an
+empty table gives no rows.  ``redact_secrets`` returns every document, and replaces each accepted value, wherever it stands in the document, by ``[SECRET]``.
 """
 
 from __future__ import annotations
@@ -26,31 +33,48 @@ from lodestone.llm.quality_rules import let, words_of
 from lodestone.llm.shared import cut, fresh
 
 KEY_RUN = r"[A-Za-z0-9+/_=\-]{16,}"
-TELLING = r"(?i)(passw|pwd|secret|token|key|auth|bearer|credential)[^=:]{0,20}[=:].{6,}"
-NAMED = r"^[\"'`({\[]*([A-Za-z][A-Za-z0-9_.\-]*)[\"']?[=:]+"
-VALUE = r"[A-Za-z0-9][A-Za-z0-9+/_.~\-]{7,}={0,2}"
+SECRET_NAME = r"[A-Za-z0-9_.\-]*(?i:passw|passphrase|pwd|secret|token|key|auth|bearer|credential)[A-Za-z0-9_.\-]*"
+SIGN = r"[\"'`\]]*(?:=>|:=|=|:)"
+TELLING = SECRET_NAME + SIGN + r".{4,}"
+ASKING = SECRET_NAME + SIGN + r"[\"'`]?$"
+LOGIN = r"://[^/:@]*:([^@/]+)@"
+QUOTED = f"({SECRET_NAME}){SIGN}([\"'`])((?:(?!\\2).)+)\\2"
+BARE = f"({SECRET_NAME}){SIGN}(?!//)([^\"'`=:][^\"'`]*?)(?=[&;,][A-Za-z_\"'][A-Za-z0-9_.\\-]*[\"'`]?[=:]|[\"'`]|$)"
+UNCLOSED = f"({SECRET_NAME}){SIGN}[\"'`]([^\"'`]+)$"
+RUN = r"(?:([A-Za-z][A-Za-z0-9_.\-]*)[\"'`]?(?:=>|:=|=|:)[\"'`]?)?((?!//)[A-Za-z0-9+/][A-Za-z0-9+/_.~\-]{15,}={0,2})"
 GOOD_WORDS = r"(token|secret|passw|pwd|api|key|private|credential|auth|bearer|access)"
 BAD_WORDS = r"(commit|sha|hash|md5|checksum|digest|uuid|guid|\bid\b|ref|version|build|example|sample|test|dummy|placeholder|order|invoice|card|phone|isbn|mail|etag|revision|integrity)"
+PASSWORD_NAME = r"(passw|passphrase|pwd|secret)"
+TEMPLATE = r"^[<$%{*#]|[>}*]$|\*{3}|\{\{|x{4}|\.env|environ|getenv|^(none|null|true|false|undefined)$"
+PHRASE = r"^[A-Za-z]+([-_. ][A-Za-z]+){3,}$"
 PROVIDER = r"^(AKIA|ASIA|ghp_|gho_|glpat-|sk_live_|sk-|xox[abp]-|AIza|eyJ|npm_|SG\.)"
 DICTIONARY = r"(example|sample|test|user|name|data|file|image|index|page|http|https|www|com|net|org|html|json|get|set|from|with|value|key|token|your|here|placeholder|changeme|password|config|local|host|server|version|build|number|order|product|item|list|the|and|this|that|main|src|lib|bin|usr|home|var|docs|public|static|assets)"
 PAIRS = r"(th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|is|it|al|ar|st|to|nt|ng|se|ha|as|ou|io|le|ve|co|me|hi|ri|ro|ic|ne|ra)"
 UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 FEATURES = (
     "length transitions digits upper lower distinct pairs covered hex numeric uuid provider slashes dots dashes extension "
-    "named quoted assigned good_name good_near bad_name bad_near same_run"
+    "named quoted assigned good_name good_near bad_name bad_near same_run symbols password_name template phrase login"
 ).split()
 
 
-def is_candidate(word: Column) -> Column:
-    return (F.length(word) >= 12) & (word.rlike("[0-9]") | word.rlike("[=:]")) & ((word.rlike(KEY_RUN) & word.rlike("[0-9]")) | word.rlike(TELLING))
+def asked(last: Column, previous: Column) -> Column:
+    """Whether the words before (the last and the one before that) end in a telling name and a sign of assignment."""
+    sign = last.rlike(r"^(=>|:=|=|:)$") & previous.rlike(SECRET_NAME + "[\"'`\\]]*$")
+    return (last.endswith("=") | last.endswith(":") | last.endswith('"') | last.endswith(">")) & (last.rlike(ASKING) | sign)
+
+
+def is_candidate(word: Column, last: Column, previous: Column) -> Column:
+    """Whether a word holds candidates, given the two words before it."""
+    long = (F.length(word) >= 12) & (word.rlike("[0-9]") | word.rlike("[=:]"))
+    return (F.length(word) >= 6) & ((long & ((word.rlike(KEY_RUN) & word.rlike("[0-9]")) | word.rlike(TELLING) | word.rlike(LOGIN))) | asked(last, previous))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, word_no, word, before, after): each candidate word, the three words before it and the word after it."""
+    """(doc_id, word_no, word, before, after): each word with candidates, the three words before it and the word after it."""
 
     def pick(w: Column) -> Column:
-        spots = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: is_candidate(F.get(w, i)))
         near = lambda i, k: F.coalesce(F.get(w, i + k), F.lit(""))
+        spots = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: is_candidate(F.get(w, i), near(i, -1), near(i, -2)))
         row = lambda i: F.struct(
             i.alias("word_no"),
             F.get(w, i).alias("word"),
@@ -63,12 +87,32 @@ def candidates(docs: DataFrame) -> DataFrame:
     return found.where(F.size("found") > 0).select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
 
 
+def values_of(word: Column, before: Column) -> Column:
+    """(kind, name, value) of all candidates in a word."""
+    last, previous = F.substring_index(before, " ", -1), F.substring_index(F.substring_index(before, " ", -2), " ", 1)
+
+    def found(kind: str, pattern: str, name: int, value: int) -> Column:
+        names = F.regexp_extract_all(word, F.lit(pattern), F.lit(name)) if name else F.transform(F.regexp_extract_all(word, F.lit(pattern), F.lit(value)), lambda _: F.lit(""))
+        each = F.arrays_zip(names.alias("name"), F.regexp_extract_all(word, F.lit(pattern), F.lit(value)).alias("value"))
+        return F.transform(each, lambda x: F.struct(F.lit(kind).alias("kind"), x["name"].alias("name"), x["value"].alias("value")))
+
+    trim = lambda x, pattern: F.struct(x["kind"].alias("kind"), x["name"].alias("name"), F.regexp_replace(x["value"], pattern, "").alias("value"))
+    bare = F.transform(F.concat(found("assigned", BARE, 1, 2), found("assigned", UNCLOSED, 1, 2)), lambda x: trim(x, r"(?<!=)(?!={1,2}$)[^A-Za-z0-9=]+$"))
+    runs = F.transform(found("run", RUN, 1, 2), lambda x: trim(x, r"[.\-_/~]+$"))
+    name = F.when(last.rlike(ASKING), last).otherwise(previous)
+    whole = F.regexp_replace(F.regexp_replace(word, "^[\"'`({\\[]+", ""), "[^A-Za-z0-9=]+$", "")
+    next_word = F.when(asked(last, previous) & ~word.rlike(TELLING), F.array(F.struct(F.lit("assigned").alias("kind"), F.regexp_extract(name, f"({SECRET_NAME})", 1).alias("name"), whole.alias("value"))))
+    sure = F.array_distinct(F.concat(found("assigned", QUOTED, 1, 3), bare, found("login", LOGIN, 0, 1), F.coalesce(next_word, F.array().cast("array<struct<kind:string,name:string,value:string>>"))))
+
+    def all_of(sure: Column) -> Column:
+        return F.concat(sure, F.filter(F.array_distinct(runs), lambda r: ~F.exists(sure, lambda x: (F.length(x["value"]) >= 6) & F.contains(x["value"], r["value"]))))
+
+    return let(sure, all_of)
+
+
 def measure(found: DataFrame) -> DataFrame:
-    """The candidate's value and the features of FEATURES."""
-    name = F.regexp_extract("word", NAMED, 1)
-    bare = F.regexp_replace("word", NAMED, "")
-    valued = found.withColumn("name", name).withColumn("value", F.regexp_extract(F.when(name != "", bare).otherwise(F.col("word")), VALUE, 0))
-    valued = valued.withColumn("value", F.regexp_replace("value", r"[.\-_/]+$", "")).where(F.length("value") >= 8)
+    """The candidates' values and the features of FEATURES, a row for each value."""
+    valued = found.withColumn("x", F.explode(values_of(F.col("word"), F.col("before")))).select(*found.columns, "x.*").where(F.length("value") >= 6)
     v, low = F.col("value"), F.lower("value")
     n = F.length("value").cast("double")
     share = lambda pattern: F.regexp_count(v, F.lit(pattern)) / n
@@ -87,6 +131,11 @@ def measure(found: DataFrame) -> DataFrame:
         "numeric": flag(v.rlike(r"^[0-9.\-]+$")),
         "uuid": flag(v.rlike(UUID)),
         "provider": flag(v.rlike(PROVIDER)),
+        "symbols": share(r"[^A-Za-z0-9+/_.=\-]"),
+        "password_name": flag(F.lower("name").rlike(PASSWORD_NAME)),
+        "template": flag(low.rlike(TEMPLATE)),
+        "phrase": flag(v.rlike(PHRASE)),
+        "login": flag(F.col("kind") == "login"),
         "slashes": share("/"),
         "dots": share(r"\."),
         "dashes": share("[-_]"),
@@ -124,7 +173,32 @@ def labelled_findings(spark: SparkSession, n_findings: int, seed: int = 5) -> Da
     other = one_of("v", "oning", "list", "index", "seite", "pages", "value", "data", "theration", "number")
     q = one_of("q", '"', "'", "")
     eq = one_of("e", "=", ":", "=")
+    secret_word = one_of("pw", "password", "passwd", "pwd", "db_password", "PASSWORD", "userPassword", "passphrase", "secret")
+    sign = one_of("sg", ":", "=", " =", " :")
+    sym = one_of("mk", "!", "#", "@", "$", "%", "^", "&", "*", "?", ";")
+    sym2 = one_of("mk2", "!", "#", "@", "-", "_", ".", "&", "+")
+    leet = one_of("lt", "Tr0ub4dor", "p@ssw0rd", "hunter2", "S3cret", "Winter2024", "qwErty12", "dr4gon", "letM3in", "Blu3Sky", "n1ghtOwl")
+    some_password = one_of("sp", F.concat(leet, sym, mixed(4)), F.concat(leet, mixed(5), sym, mixed(5, "m3")), F.concat(mixed(6), sym2, mixed(5, "m3")), F.concat(leet, sym2, digits(2)), mixed(12), mixed(9))
+    lower_word = lambda k: one_of(k, "correct", "horse", "battery", "staple", "river", "candle", "orange", "window", "monkey", "paper", "silver", "garden", "wolke", "berg", "maison", "rouge", "verde", "campo", "stone", "cloud")
+    passphrase = F.array_join(F.array(*[lower_word(f"w{i}") for i in range(4)]), "-")
+    passphrase = F.replace(passphrase, F.lit("-"), one_of("pd", "-", "-", "_", "."))
+    template = one_of("tp", "your_password_here", "<your-password>", "${DB_PASSWORD}", "{{password}}", "%(password)s", "********", "process.env.PASSWORD", "os.environ.get", "xxxxxxxx", "changeme", "undefined", "required", "[required]", "placeholder", "example-password", "$PASSWORD_HERE", "PASSWORD_HERE")
+    usual = one_of("us", "please", "should", "therefore", "wichtig", "important", "changed", "whenever", "musique", "nothing", "authentication", "configured", "rotation-policy", "well-known", "two-factor", "everyone's", "expires", "optional", "minimum-length")
     cases: list[tuple[int, Column, Column]] = [
+        (1, F.concat(secret_word, one_of("sg1", "=", ":"), q, some_password, q), prose),
+        (1, F.concat(q, some_password, q), F.concat(prose, F.lit(" "), secret_word, sign)),
+        (1, F.concat(q, passphrase, q), F.concat(prose, F.lit(" "), secret_word, sign)),
+        (1, F.concat(secret_word, one_of("sg1", "=", ":"), passphrase), prose),
+        (1, F.concat(one_of("ur", "postgres", "mysql", "https", "amqp", "redis", "mongodb+srv"), F.lit("://"), one_of("un", "user", "admin", "app", ""), F.lit(":"), some_password, F.lit("@"), one_of("hs", "db.example.com/main", "localhost:5432", "10.0.0.5/x", "host")), prose),
+        (1, F.concat(F.lit("https://api.example.com/v"), digits(1), F.lit("?"), secret_name, F.lit("="), some_key, one_of("z", "", "&page=2", "&user=ann")), prose),
+        (1, F.concat(F.lit('{"user":"'), word, digits(4), F.lit('","'), secret_name, F.lit('":"'), some_key, F.lit('"}')), prose),
+        (0, F.concat(secret_word, one_of("sg1", "=", ":"), q, template, q), prose),
+        (0, F.concat(q, template, q), F.concat(prose, F.lit(" "), secret_word, sign)),
+        (0, one_of("wd", usual, lower_word("w0"), word, other), F.concat(prose, F.lit(" "), one_of("nm", secret_word, "key", "token", "Keyword", "the key", "author", "authors"), one_of("sg2", ":", " :", ":"))),
+        (0, F.concat(one_of("nm", "key", "token", "keywords", "author", "monkey", "auth"), one_of("sg1", "=", ":"), one_of("wd", usual, lower_word("w0"), word, other)), prose),
+        (0, F.concat(F.lit("https://www.example.com/"), word, F.lit("?"), one_of("nm", "id", "page", "ref", "sha"), F.lit("="), one_of("wd2", digits(8), some_hash, word), one_of("z", "", "&lang=en")), prose),
+        (0, F.concat(F.lit("http://"), word, F.lit(":"), digits(4), F.lit("/"), other, F.lit("@"), word), prose),
+        (0, F.concat(F.lit('{"commit":"'), some_hash, F.lit('","'), plain_name, F.lit('":"'), uuid, F.lit('"}')), prose),
         (1, F.concat(q, some_key, q, tail), F.concat_ws(" ", prose, secret_name, eq)),
         (1, F.concat(secret_name, eq, q, some_key, q, tail), prose),
         (1, F.concat(F.lit("password="), hexa(18), tail), prose),
@@ -150,20 +224,24 @@ def labelled_findings(spark: SparkSession, n_findings: int, seed: int = 5) -> Da
         (0, F.concat(F.lit("sha256-"), base(43), F.lit("=")), F.concat_ws(" ", prose, one_of("a", "integrity", "integrity:", "digest"))),
         (0, F.concat(digits(3), F.lit("."), digits(2), F.lit("."), digits(3), F.lit("."), digits(2), F.lit(":"), digits(4), tail), prose),
     ]
-    base_rows = spark.range(0, n_findings, 1, 4)
-    parts = [
-        base_rows.where(F.pmod("id", F.lit(len(cases))) == i).select(word.alias("word"), before.alias("before"), F.lit("").alias("after"), F.lit(float(label)).alias("label"))
-        for i, (label, word, before) in enumerate(cases)
-    ]
-    return reduce(DataFrame.union, parts).where(is_candidate(F.col("word")))
+    case = F.pmod("id", F.lit(len(cases)))
+    chosen = lambda i: reduce(lambda so_far, n: so_far.when(case == n, F.lit(cases[n][i])), range(1, len(cases)), F.when(case == 0, F.lit(cases[0][i])))
+    made = spark.range(0, n_findings, 1, 4).select(chosen(1).alias("word"), chosen(2).alias("before"), F.lit("").alias("after"), chosen(0).cast("double").alias("label"))
+    last, previous = F.substring_index("before", " ", -1), F.substring_index(F.substring_index("before", " ", -2), " ", 1)
+    return made.where(is_candidate(F.col("word"), last, previous))
 
 
-def fit_forest(spark: SparkSession, n_findings: int = 4800, trees: int = 24, depth: int = 8, seed: int = 7) -> RandomForestClassificationModel:
+def fit_forest(spark: SparkSession, n_findings: int = 9600, trees: int = 32, depth: int = 9, seed: int = 7) -> RandomForestClassificationModel:
+    """Fitted on ``n_findings`` made cases; a bare run beside an assigned or login value of the same word is not the secret."""
     cases = cut(measure(cut(labelled_findings(spark, n_findings))))
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(cases)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(cases).withColumn("label", F.expr(true_label()))
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label").fit(rows.select("features", "label"))
 
 
+def true_label() -> str:
+    return r"if(kind = 'run' AND word RLIKE '[?]|:[^/:@]+@|[{]', 0D, label)"
+
+
 def scan_secrets(docs: DataFrame, model: RandomForestClassificationModel | None = None, threshold: float = 0.5) -> DataFrame:
     """Accepted findings: doc_id, word_no (from 0), value, name, probability."""
     model = model or fit_forest(docs.sparkSession)

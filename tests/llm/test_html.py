@@ -21,7 +21,7 @@ def test_a_page():
 def test_held_out_pages():
     maker, right, total, whole = PageMaker(4242), 0, 0, 0
     for _ in range(120):
-        blocks, _ = hx.parse(maker.page())
+        blocks, _ = hx.parse(maker.page(), labelled=True)
         kept = hx.decode(blocks, hx.default_model().raw(np.array(hx.node_features(blocks))))
         truth = [True] * len(blocks)
         for i in range(1, len(blocks)):
@@ -42,6 +42,58 @@ def test_given_pages(medium):
         assert hx.extract_batch([r.html], hx.default_model()) == ["\n".join(x for x in parts if x)]
 
 
+ARTICLE = "<article><h1>Title here</h1>" + "".join(f"<p>Sentence number {i} of the story, with some words in it. It goes on.</p>" for i in range(6)) + "</article>"
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<datalist><option value=a><option value=b></datalist>",
+        "<select><option>One<option>Two</select>",
+        "<select><optgroup label=x><option>One<optgroup label=y><option>Two</select>",
+        "<option value=a>",
+        "<button>",
+        "<button><button>Stop</button>",
+        "<svg/>",
+        "<svg><path d=x /><title>drawn</title></svg>",
+        "<iframe src=x />",
+        "<textarea>",
+        "<noscript><p>Please switch it on.</p></noscript>",
+        "<template><div>unused</div></template>",
+        '<div data-keep="true"></div>',
+        '<div data-keep=""></div>',
+        "<a href='x>y'></a>",
+    ],
+)
+def test_controls_hide_nothing_after_them(before):
+    whole = "<html><body>%s" + ARTICLE + "</body></html>"
+    expected = hx.extract_batch([whole % ""], hx.default_model())
+    assert len(expected[0]) > 300 and hx.extract_batch([whole % before], hx.default_model()) == expected
+
+
+def test_text_without_blocks():
+    assert hx.extract_batch(["Just <b>inline</b> text &amp; more."], hx.default_model()) == ["Just inline text & more."]
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<b>", "</b>", "<b></i>", "<div></x>", "<option>", "<button>", "<script", "<li>x", "< ", "<!--", "<svg>", "<p><b>", "<select><option>"])
+def test_time_in_proportion(piece):
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        hx.parse(piece * n)
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(40_000) < 32 * max(seconds(5000), 0.005)  # 8 times as long; 64 if it were quadratic
+
+
+def test_long_page(spark):
+    page = "<html><body>" + ARTICLE * 2000 + "</body></html>"
+    df = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert len(hx.extract_pages(df).first().text) > 600_000
+
+
 def test_no_kept_block_under_a_dropped_one():
     rng = np.random.default_rng(0)
     maker = PageMaker(3)

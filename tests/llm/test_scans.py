@@ -48,11 +48,43 @@ def test_findings(spark, forest):
     assert found == {i for i, (_, secret) in enumerate(CASES) if secret}
 
 
+KEY = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+WHOLE = [
+    ("password=p@ssw0rd!Secret99#x", "password=[SECRET]"),
+    ("passwd=Tr0ub4dor9kLm2x!qZ7vB", "passwd=[SECRET]"),
+    ('password = "hunter2secret!X9"', 'password = "[SECRET]"'),
+    ("password: correct-horse-battery-staple", "password: [SECRET]"),
+    ("password: Tr0ub4dor&3", "password: [SECRET]"),
+    ("secret=abc123", "secret=[SECRET]"),
+    ("postgres://user:S3cretPass99@db.example.com/x", "postgres://user:[SECRET]@db.example.com/x"),
+    (f"https://api.example.com/v1?token={KEY}&page=2", "https://api.example.com/v1?token=[SECRET]&page=2"),
+    (f'{{"user":"alice12345","api_key":"{KEY}"}}', '{"user":"alice12345","api_key":"[SECRET]"}'),
+    (f'{{"password":"{KEY[:18]}","token":"{KEY}"}}', '{"password":"[SECRET]","token":"[SECRET]"}'),
+    ("password: required and key: the value, token: none", None),
+    ("password=${DB_PASSWORD} token=process.env.TOKEN", None),
+    ("see https://www.example.com/list?page=12345678&lang=en", None),
+    (f'{{"commit":"{KEY}","id":"3f2b8c1a-9d4e-4f6a-8b7c-1d2e3f4a5b6c"}}', None),
+]
+
+
+def test_no_part_of_a_secret_stays(spark, forest):
+    df = spark.createDataFrame([(i, f"some words {t} and more") for i, (t, _) in enumerate(WHOLE)], "doc_id long, text string")
+    rows = {r.doc_id: r.text for r in ss.redact_secrets(df, forest).collect()}
+    assert rows == {i: f"some words {clean or t} and more" for i, (t, clean) in enumerate(WHOLE)}
+
+
+def test_odd_secret_rows(spark, forest):
+    long = "word " * 50_000 + "password=p@ssw0rd!Secret99#x"
+    df = spark.createDataFrame([(None, "secret=abc123", 1), (1, long, 2), (2, None, 3)], "doc_id long, text string, probability int")
+    assert sorted((r.doc_id or 0, r.word_no, r.value) for r in ss.scan_secrets(df, forest).collect()) == [(0, 0, "abc123"), (1, 50_000, "p@ssw0rd!Secret99#x")]
+    assert sorted(r.text[-12:] for r in ss.redact_secrets(df, forest).where("text IS NOT NULL").collect()) == ["ord=[SECRET]", "ret=[SECRET]"]
+
+
 def test_held_out_findings(spark, forest):
     from pyspark.ml.feature import VectorAssembler
 
     rows = VectorAssembler(inputCols=ss.FEATURES, outputCol="features").transform(ss.measure(ss.labelled_findings(spark, 1500, seed=99)))
-    judged = forest.transform(rows)
+    judged = forest.transform(rows.withColumn("label", F.expr(ss.true_label())))
     assert judged.where("prediction = label").count() / judged.count() > 0.97
 
 
