@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import cut
+from lodestone.llm.shared import cut, join_hot
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -22,8 +22,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             break
         before = tuple(mark)
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_hot(both, low, "u", "n", 2 * mark[0]).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct())

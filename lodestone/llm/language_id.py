@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lodestone.llm.arrow_text import slices
-from lodestone.llm.shared import release_memory, small_batches, trimmed
+from lodestone.llm.shared import release_memory, small_batches, trimmed, whole_texts
 
 LETTER = re.compile(r"[^\W\d_]")
 SCALE = 1024
@@ -145,21 +145,23 @@ def code_lengths(model: PpmModel, data: np.ndarray, offsets: np.ndarray) -> np.n
     return total
 
 
-def training_ids(docs: DataFrame, docs_per_language: int) -> DataFrame:
-    """The ``docs_per_language`` labelled rows of each language with the smallest hash, held-out rows left out.  Reads doc_id and lang only."""
+def training_ids(docs: DataFrame, docs_per_language: int) -> dict[str, list[tuple]]:
+    """The ``docs_per_language`` labelled rows of each language with the smallest hash, in that order, held-out rows left out.  Reads doc_id and lang only."""
     labelled = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return labelled.withColumn("r", F.row_number().over(order)).where(F.col("r") <= docs_per_language).select("doc_id")
+    found: dict[str, list[tuple]] = {}
+    for r in labelled.withColumn("r", F.row_number().over(order)).where(F.col("r") <= docs_per_language).orderBy("lang", "r").collect():
+        found.setdefault(r["lang"], []).append((r["lang"], r["doc_id"]))
+    return found
 
 
-def fit_language_model(docs: DataFrame, docs_per_language: int = 240, bytes_per_doc: int = 20_000, min_count: int = 4) -> PpmModel:
-    """Fit on a bounded sample: at most ``docs_per_language`` documents a language, of each at most ``bytes_per_doc`` bytes."""
-    ids = [r[0] for r in training_ids(docs, docs_per_language).collect()]
+def fit_language_model(docs: DataFrame, docs_per_language: int = 240, chars_per_language: int = 1_500_000, min_count: int = 4) -> PpmModel:
+    """Fit on a bounded sample of whole texts: at most ``docs_per_language`` documents and ``chars_per_language`` characters a language; a text that does not fit is passed over."""
+    picked = training_ids(docs, docs_per_language)
+    texts = whole_texts(docs, ["lang", "doc_id"], picked, chars_per_language)
     samples: dict[str, list[bytes]] = {}
-    if ids:
-        rows = docs.where(F.col("doc_id").isin(ids) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-        for lang, text in rows.select("lang", F.substring("text", 1, bytes_per_doc)).orderBy("lang", "doc_id").collect():
-            samples.setdefault(lang, []).append(text.encode()[:bytes_per_doc])
+    for lang, doc in sorted(texts):
+        samples.setdefault(lang, []).append(texts[lang, doc].encode())
     model = fit_ppm(samples, min_count)
     del samples
     release_memory()

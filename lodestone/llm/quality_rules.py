@@ -11,9 +11,10 @@ Every rule compares one integer measure with limits learnt for the document's la
 The sketch of a measure is its histogram over buckets that keep the six leading bits (exact below 64, within 1/32 above), at most a
 few hundred rows however many documents there are.  Sketches merge by adding counts, so the order of tasks cannot
 change them; those of a language and of the whole corpus are merged from those of its sources.  A group with fewer than ``min_docs``
-sketched documents takes the merged sketch of its language, or else of the corpus.  Limits are q75 + 3 s and q25 - 3 s, where s is the
-interquartile range or the rule's least spread, whichever is larger.  Only documents that pass the base rules are
-sketched.
+sketched documents takes the merged sketch of its language, or else of the corpus.  A rule's limits come from the median m and the tail quantile t
+of the group's sketch (for word_len also the lower tail b): t + k (t - m) and b - k (m - b).  The tail (the 90th to 99th percentile) and k are the rule's.
+Where a tail equals its median, the spread is one step of the measure (1 per cent, or a tenth of a code point); README has how
+often that decides.  Only documents that pass the base rules are sketched.
 
 Words in repeated windows: windows of three words are compared by a 64-bit hash of their words within one document.
 
@@ -30,8 +31,8 @@ from lodestone.llm.shared import cut
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-#: Rule -> (least spread, whether it has a lower limit too).
-RULES = {"symbols": (100, False), "dup_lines": (170, False), "repeats": (100, False), "word_len": (10, True)}
+#: Rule -> (percentile of the tail, multiple of the spread, one step of the measure, whether it has a lower limit too).
+RULES = {"symbols": (90, 3, 10, False), "dup_lines": (99, 1, 10, False), "repeats": (98, 2, 10, False), "word_len": (90, 3, 1, True)}
 
 
 def let(value: Column, body) -> Column:
@@ -118,30 +119,31 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def limits(merged: DataFrame, keys: list[str]) -> DataFrame:
-    """One row a group: sketched documents ``n`` and the limits of each rule, from the quartiles of its sketches."""
+    """One row a group: sketched documents ``n`` and the limits of each rule, from the quantiles of its sketches."""
     group = [*keys, "rule"]
     steps = merged.groupBy(*group).agg(
         F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("hist"),
         F.sum("n").alias("total"),
     )
 
-    def quartile(q: int) -> Column:
+    def percentile(p: Column) -> Column:
         seen = F.aggregate(
             "hist",
             F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("long").alias("at")),
             lambda a, x: F.struct(
                 (a["cum"] + x["n"]).alias("cum"),
-                F.coalesce(a["at"], F.when(4 * (a["cum"] + x["n"]) >= q * F.col("total"), x["bucket"])).alias("at"),
+                F.coalesce(a["at"], F.when(100 * (a["cum"] + x["n"]) >= p * F.col("total"), x["bucket"])).alias("at"),
             ),
         )
         return seen["at"]
 
-    spread = F.create_map(*[F.lit(x) for r, (s, _) in RULES.items() for x in (r, s)])
-    wide = steps.select(*group, "total", quartile(1).alias("q1"), quartile(3).alias("q3"))
-    wide = wide.withColumn("s", 3 * F.greatest(F.col("q3") - F.col("q1"), spread[F.col("rule")].cast("long")))
-    picks = [F.max(F.when(F.col("rule") == r, F.col("q3") + F.col("s"))).alias(f"hi_{r}") for r in RULES]
-    picks += [F.max(F.when(F.col("rule") == r, F.col("q1") - F.col("s"))).alias(f"lo_{r}") for r, (_, low) in RULES.items() if low]
-    return wide.groupBy(*keys).agg(F.max("total").alias("n"), *picks)
+    of_rule = lambda i: F.create_map(*[F.lit(x) for r, parts in RULES.items() for x in (r, parts[i])])[F.col("rule")].cast("long")
+    tails = steps.select(*group, "total", percentile(F.lit(50)).alias("m"), percentile(of_rule(0)).alias("t"), percentile(100 - of_rule(0)).alias("b"))
+    high = F.col("t") + of_rule(1) * F.greatest(F.col("t") - F.col("m"), of_rule(2))
+    low = F.col("b") - of_rule(1) * F.greatest(F.col("m") - F.col("b"), of_rule(2))
+    picks = [F.max(F.when(F.col("rule") == r, high)).alias(f"hi_{r}") for r in RULES]
+    picks += [F.max(F.when(F.col("rule") == r, low)).alias(f"lo_{r}") for r, parts in RULES.items() if parts[3]]
+    return tails.groupBy(*keys).agg(F.max("total").alias("n"), *picks)
 
 
 def judge_quality(docs: DataFrame, min_docs: int = 100) -> DataFrame:
@@ -150,7 +152,7 @@ def judge_quality(docs: DataFrame, min_docs: int = 100) -> DataFrame:
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = cut(measured.select("*", failed.alias("base_failed"), *[v.alias(f"v_{r}") for r, v in rule_values().items()]))
     fine = cut(sketches(measured))
-    names = [f"hi_{r}" for r in RULES] + [f"lo_{r}" for r, (_, low) in RULES.items() if low]
+    names = [f"hi_{r}" for r in RULES] + [f"lo_{r}" for r, parts in RULES.items() if parts[3]]
 
     def level(name: str, keys: list[str]) -> DataFrame:
         merged = fine.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
@@ -172,7 +174,7 @@ def judge_quality(docs: DataFrame, min_docs: int = 100) -> DataFrame:
         *[F.when(own, F.col(f"s_{c}")).when(lang, F.col(f"l_{c}")).otherwise(F.lit(overall[f"a_{c}"]).cast("long")).alias(c) for c in names],
     )
     joined = measured.join(groups, measured["lang"].eqNullSafe(F.col("g_lang")) & measured["source"].eqNullSafe(F.col("g_source")), "left")
-    checks = [F.col(f"v_{r}") > F.col(f"hi_{r}") for r in RULES] + [F.col(f"v_{r}") < F.col(f"lo_{r}") for r, (_, low) in RULES.items() if low]
+    checks = [F.col(f"v_{r}") > F.col(f"hi_{r}") for r in RULES] + [F.col(f"v_{r}") < F.col(f"lo_{r}") for r, parts in RULES.items() if parts[3]]
     broken = sum((F.coalesce(c, F.lit(False)).cast("int") for c in checks), F.lit(0))
     return joined.select(
         "doc_id",
@@ -224,14 +226,17 @@ WITH base AS (
   UNION ALL SELECT 'a', NULL, NULL, rule, bucket, sum(n) FROM fine GROUP BY ALL
 ), cum AS (
   SELECT *, sum(n) OVER (PARTITION BY lv, lang, source, rule ORDER BY bucket) AS c, sum(n) OVER (PARTITION BY lv, lang, source, rule) AS total FROM merged
-), quart AS (
-  SELECT lv, lang, source, rule, max(total) AS total, min(bucket) FILTER (4 * c >= total) AS q1, min(bucket) FILTER (4 * c >= 3 * total) AS q3
+), quant AS (
+  SELECT lv, lang, source, rule, max(total) AS total,
+    CASE rule WHEN 'dup_lines' THEN 99 WHEN 'repeats' THEN 98 ELSE 90 END AS p, CASE rule WHEN 'dup_lines' THEN 1 WHEN 'repeats' THEN 2 ELSE 3 END AS k,
+    CASE rule WHEN 'word_len' THEN 1 ELSE 10 END AS step, min(bucket) FILTER (100 * c >= 50 * total) AS m,
+    min(bucket) FILTER (100 * c >= CASE rule WHEN 'dup_lines' THEN 99 WHEN 'repeats' THEN 98 ELSE 90 END * total) AS t, min(bucket) FILTER (100 * c >= 10 * total) AS b
   FROM cum GROUP BY ALL
 ), lim AS (
-  SELECT *, 3 * greatest(q3 - q1, CASE rule WHEN 'dup_lines' THEN 170 WHEN 'word_len' THEN 10 ELSE 100 END) AS s FROM quart
+  SELECT *, t + k * greatest(t - m, step) AS hi, b - k * greatest(m - b, step) AS lo FROM quant
 ), wide AS (
-  SELECT lv, lang, source, max(total) AS n, max(q3 + s) FILTER (rule = 'symbols') AS hi_symbols, max(q3 + s) FILTER (rule = 'dup_lines') AS hi_dup_lines,
-    max(q3 + s) FILTER (rule = 'repeats') AS hi_repeats, max(q3 + s) FILTER (rule = 'word_len') AS hi_word_len, max(q1 - s) FILTER (rule = 'word_len') AS lo_word_len
+  SELECT lv, lang, source, max(total) AS n, max(hi) FILTER (rule = 'symbols') AS hi_symbols, max(hi) FILTER (rule = 'dup_lines') AS hi_dup_lines,
+    max(hi) FILTER (rule = 'repeats') AS hi_repeats, max(hi) FILTER (rule = 'word_len') AS hi_word_len, max(lo) FILTER (rule = 'word_len') AS lo_word_len
   FROM lim GROUP BY ALL
 ), picked AS (
   SELECT measured.*, CASE WHEN ws.n >= 100 THEN 'source' WHEN wl.n >= 100 THEN 'lang' ELSE 'all' END AS sketch_level,

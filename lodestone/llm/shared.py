@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,6 +39,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def join_hot(rows: DataFrame, side: DataFrame, key: str, count: str, total: int, least: int = 50_000, most_keys: int = 4000) -> DataFrame:
+    """``rows`` joined with ``side``, which has each key once and the number of its rows in ``count`` (of ``total`` in all); no key fills a task.
+
+    Keys with ``least`` rows or a ``most_keys``-th of all, whichever is more, are ``most_keys`` at most, so they can go to all tasks.
+    """
+    bound = max(least, total // most_keys + 1)
+    if total <= bound:
+        return rows.join(side.drop(count), key)
+    hot = F.broadcast(side.where(F.col(count) >= bound).drop(count))
+    cold = rows.join(hot.select(key), key, "left_anti").join(side.where(F.col(count) < bound).drop(count), key)
+    return rows.join(hot, key).unionByName(cold)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}
@@ -46,6 +60,30 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def whole_texts(docs: DataFrame, keys: list[str], picked: dict[object, list[tuple]], chars: int) -> dict[tuple, str]:
+    """Key -> text of the documents of each group, in the order of ``picked`` as far as ``chars`` characters a group go: a text that no longer fits is passed over, none is cut.
+
+    Keys are values of the columns ``keys``, the last of which is doc_id.  Two scans, whatever the number of groups.
+    """
+    ids = sorted({key[-1] for group in picked.values() for key in group})
+    if not ids:
+        return {}
+    rows = docs.where(F.col("doc_id").isin(ids) & F.col("text").isNotNull())
+    sizes = {tuple(r[k] for k in keys): r["size"] for r in rows.groupBy(*keys).agg(F.max(F.length("text")).alias("size")).collect()}
+    fitting: set[tuple] = set()
+    for group in picked.values():
+        left = chars
+        for key in dict.fromkeys(group):
+            if sizes.get(key, left + 1) <= left:
+                left -= sizes[key]
+                fitting.add(key)
+    if not fitting:
+        return {}
+    chosen = rows.where(F.col("doc_id").isin(sorted({key[-1] for key in fitting}))).where(F.length("text") <= chars)
+    texts = chosen.groupBy(*keys).agg(F.max(F.struct(F.length("text").alias("size"), "text")).alias("t")).select(*keys, "t.text").collect()
+    return {key: r["text"] for r in texts if (key := tuple(r[k] for k in keys)) in fitting}
+
+
 def small_batches(df: DataFrame, rows: int = 2500) -> DataFrame:
     """``df``, with Arrow batches of at most ``rows`` rows in its session, so that a Python worker's memory follows a few megabytes of text."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import slices
 from lodestone.llm.components import connected_components
-from lodestone.llm.shared import cut, small_batches, trimmed
+from lodestone.llm.shared import cut, join_hot, small_batches, trimmed
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -257,11 +257,11 @@ def link_rows(dealt: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def hamming_links(distinct: DataFrame, radius: int = 3, block: int = 2048) -> DataFrame:
+def hamming_links(distinct: DataFrame, radius: int = 3, block: int = 2048, tasks: int | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints within ``radius`` (3 at most) bits: a set with the same components as all of them."""
     if radius > 3:
         raise ValueError("the keys guarantee links of up to three differing bits")
-    keys = key_rows(distinct)
+    keys = key_rows(distinct.repartition(tasks, "fp") if tasks else distinct)
     hot = cut(keys.groupBy("key").count().where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
     n_hot = hot.count()
     if n_hot == 0:
@@ -276,13 +276,14 @@ def hamming_links(distinct: DataFrame, radius: int = 3, block: int = 2048) -> Da
     return link_rows(dealt, radius)
 
 
-def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3, rows_a_task: int = 20_000) -> DataFrame:
     """doc_id, fp (as a signed number) and component_id, the smallest doc_id reachable over links, of every document."""
     prints = cut(fingerprint_docs(docs, shingle))
-    classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    linked = connected_components(hamming_links(classes.select("fp"), radius))
-    labels = classes.join(linked, classes["fp"] == linked["node"], "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
+    classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
+    total, distinct = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    linked = connected_components(hamming_links(classes.select("fp"), radius, tasks=-(-distinct // rows_a_task)))
+    labels = classes.join(linked, classes["fp"] == linked["node"], "left").select("fp", "rep", "n", F.coalesce("component", "fp").alias("component"))
     labels = cut(labels)
-    smallest = labels.groupBy("component").agg(F.min("rep").alias("component_id"))
-    final = labels.join(smallest, "component").select("fp", "component_id")
-    return prints.join(final, "fp").select("doc_id", "fp", "component_id")
+    smallest = labels.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("members"))
+    final = join_hot(labels, smallest, "component", "members", distinct).select("fp", "n", "component_id")
+    return join_hot(prints, final, "fp", "n", total).select("doc_id", "fp", "component_id")

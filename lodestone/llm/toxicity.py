@@ -8,7 +8,7 @@ chained, and then run again from the right start.
 
 Training.  Labels mark documents, so the labelled words are induced: a word of a toxic document is tagged if one of its features is
 common in toxic and all but absent in other training documents.  The field is fitted to these tags by gradient ascent on a bounded sample
-(``n_toxic`` and ``n_clean`` documents by hash order, at most ``chars_per_doc`` characters of each).  A document's score is a logistic function
+(``n_toxic`` and ``n_clean`` documents by hash order, whole texts, ``chars_per_class`` characters at most in each class; a text that does not fit is passed over).  A document's score is a logistic function
 of its largest marginal and the sum of its squared marginals, fitted to the document labels of the same sample.
 
 Defined results: null and empty texts have no words and get the score of a document without toxic words; without labelled rows of both
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import slices
-from lodestone.llm.shared import release_memory, small_batches, trimmed
+from lodestone.llm.shared import release_memory, small_batches, trimmed, whole_texts
 from lodestone.llm.simhash_dedup import WHITE
 
 PREFIXES = (3, 4, 5, 6)
@@ -221,23 +221,20 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 40, ridge: float =
     return w
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, n_toxic: int, n_clean: int, chars_per_doc: int) -> tuple[list[str], list[int]]:
-    """Bounded sample of labelled documents outside the held-out fifth, by hash order."""
+def training_sample(docs: DataFrame, labels: DataFrame, n_toxic: int, n_clean: int, chars_per_class: int) -> tuple[list[str], list[int]]:
+    """Bounded sample of labelled documents outside the held-out fifth, by hash order, of whole texts."""
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0))
     rows = rows.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    picked: dict[int, int] = {}
-    for label, n in ((1, n_toxic), (0, n_clean)):
-        for r in rows.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect():
-            picked[r["doc_id"]] = label
-    if not picked:
-        return [], []
-    texts = docs.where(F.col("doc_id").isin(list(picked)) & F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, chars_per_doc).alias("text"))
-    found = sorted((r["doc_id"], r["text"]) for r in texts.collect())
-    return [t for _, t in found], [picked[d] for d, _ in found]
-
-
-def fit_model(docs: DataFrame, labels: DataFrame, n_toxic: int = 1200, n_clean: int = 2000, chars_per_doc: int = 3000) -> ToxicityModel:
-    model = fit_toxicity(*training_sample(docs, labels, n_toxic, n_clean, chars_per_doc))
+    picked = {
+        label: [(r["doc_id"],) for r in rows.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()] for label, n in ((1, n_toxic), (0, n_clean))
+    }
+    texts = whole_texts(docs, ["doc_id"], picked, chars_per_class)
+    toxic = set(picked[1])
+    return [texts[d] for d in sorted(texts)], [int(d in toxic) for d in sorted(texts)]
+
+
+def fit_model(docs: DataFrame, labels: DataFrame, n_toxic: int = 1200, n_clean: int = 2000, chars_per_class: int = 4_000_000) -> ToxicityModel:
+    model = fit_toxicity(*training_sample(docs, labels, n_toxic, n_clean, chars_per_class))
     release_memory()
     return model
 

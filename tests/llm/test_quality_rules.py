@@ -57,3 +57,31 @@ def test_sketches_merge_and_junk_goes(spark):
     assert all(rows[i].kept for i, *_ in clean) and not any(rows[i].kept for i, *_ in junk)
     again = {r.doc_id: r.kept for r in qr.judge_quality(df.repartition(7)).collect()}
     assert again == {k: r.kept for k, r in rows.items()}
+
+
+def sketch_limits(spark, groups):
+    """Limits of each source from its list of (symbols, dup_lines, repeats, word_len)."""
+    rows = [("en", source, *values, False) for source, all_values in groups.items() for values in all_values]
+    names = "lang string, source string, v_symbols long, v_dup_lines long, v_repeats long, v_word_len long, base_failed boolean"
+    fine = qr.sketches(spark.createDataFrame(rows, names))
+    merged = fine.groupBy("lang", "source", "rule", "bucket").sum("n").withColumnRenamed("sum(n)", "n")
+    return {r.source: r.asDict() for r in qr.limits(merged, ["lang", "source"]).collect()}
+
+
+def test_every_limit_follows_the_data(spark):
+    low = [(i % 7, i % 5, i % 11, 48 + i % 4) for i in range(300)]
+    high = [(40 + 5 * (i % 9), 60 + 7 * (i % 8), 90 + 3 * (i % 31), 60 + 2 * (i % 5)) for i in range(300)]
+    found = sketch_limits(spark, {"low": low, "high": high})
+    for rule in qr.RULES:
+        assert found["low"][f"hi_{rule}"] < found["high"][f"hi_{rule}"], rule
+    assert found["low"]["lo_word_len"] < found["high"]["lo_word_len"]
+
+
+def test_the_least_step_decides_little(spark, medium, monkeypatch):
+    docs = medium("documents")
+    verdicts = {r.doc_id: r.kept for r in qr.judge_quality(docs).collect()}
+    monkeypatch.setattr(qr, "RULES", {r: (p, k, 0, low) for r, (p, k, _, low) in qr.RULES.items()})
+    bare = {r.doc_id: r.kept for r in qr.judge_quality(docs).collect()}
+    changed = sum(verdicts[d] != bare[d] for d in verdicts)
+    print(f"{changed} of {len(verdicts)} verdicts change without the least step")
+    assert changed <= 0.02 * len(verdicts)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import zlib
+from pathlib import Path
 from itertools import product
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 
 from lodestone.llm import toxicity as tx
 from lodestone.llm.queries import op1_toxicity
+from lodestone.llm.shared import whole_texts
 
 
 def slow_marginals(e, w):
@@ -87,6 +89,23 @@ def test_query(spark, medium):
     assert np.mean([r.predicted for r in toxic]) > 0.6
 
 
+def test_held_out_recall(spark):
+    folder = "/root/testdata/sf0.1"
+    if not Path(folder).exists():
+        pytest.skip("no test tables")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic IS NOT NULL")
+    rows = op1_toxicity(spark, folder).where("held_out").join(labels, "doc_id").select("toxic", "predicted").collect()
+    toxic, clean = ([r.predicted for r in rows if r.toxic == t] for t in (1, 0))
+    print(f"held out: {np.mean(toxic):.3f} of {len(toxic)} toxic found, {np.mean(clean):.4f} of {len(clean)} others")
+    assert np.mean(toxic) >= 0.9 and np.mean(clean) < 0.02
+
+
+def test_training_takes_whole_texts(spark):
+    docs = spark.createDataFrame([(i, "a" * (10 * i)) for i in range(1, 9)], "doc_id long, text string")
+    found = whole_texts(docs, ["doc_id"], {1: [(8,), (2,), (7,), (1,)], 0: [(5,), (99,)]}, 120)
+    assert {d: len(t) for (d,), t in found.items()} == {8: 80, 2: 20, 1: 10, 5: 50}
+
+
 def test_odd_rows(spark, odd, clashing, empty):
     texts, labels = corpus(120)
     model = tx.fit_toxicity(texts, labels)
