@@ -175,11 +175,11 @@ def candidate_windows(docs: DataFrame, known: DataFrame, shingle: int, threshold
     lengths = [r[0] for r in known.select("n").distinct().collect()] or [shingle]
     sizes = sorted({min(n, shingle) for n in lengths})
     stride = safe_stride([max(1, n - shingle + 1) for n in lengths], threshold)
-    anchors = known.select(F.col("n").alias("window"), "blocks", F.explode("item_hashes").alias("h")).distinct()
+    anchors = cut(known.select(F.col("n").alias("window"), "blocks", F.explode("item_hashes").alias("h")).distinct())
     n_anchors = anchors.count()
     small = F.broadcast if n_anchors <= BROADCAST_ROWS else (lambda df: df)
     size_log = min(24, max(12, (64 * n_anchors).bit_length()))
-    table = bit_table(anchors.select("h"), size_log)
+    table = cut(bit_table(anchors.select("h"), size_log))
     regions = cut(regions_of(docs, table, size_log, sizes, stride, max(lengths)))
     at = lambda s: F.transform(shingle_hashes(F.col("words"), s), lambda h, i: F.struct(F.lit(s).alias("size"), (F.col("first") + i).alias("spot"), h.alias("h")))
     spots = regions.select("doc_id", "region", "total", "first", "words", table.scalar().alias(TABLE))

@@ -21,7 +21,7 @@ empty table gives no rows.  ``redact_secrets`` returns every document, and repla
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -152,81 +152,133 @@ def measure(found: DataFrame) -> DataFrame:
     return valued.select("*", *[columns[c].cast("double").alias(c) for c in FEATURES])
 
 
+#: Choices a part of a made case is drawn from.
+CHOICES = {
+    "prose": ["the on of", "er and thion", "", "with en la", "que los de", "und der ein", "ouha. Ered the"],
+    "tail": ["", "", ".", ",", "###", "%%%", "&&&", "$$$"],
+    "secret_name": ["token", "TOKEN", "api_key", "apiKey", "secret", "client_secret", "password", "passwd", "access_key", "auth_token", "aws_secret_access_key", "private_key"],
+    "plain_name": ["commit", "sha1", "md5", "checksum", "etag", "revision", "uuid", "id", "ref", "digest", "build", "order"],
+    "word": ["threing", "andention", "produit", "kunden", "images", "reports", "main", "user", "article", "erthould"],
+    "other": ["oning", "list", "index", "seite", "pages", "value", "data", "theration", "number"],
+    "q": ['"', "'", ""],
+    "eq": ["=", ":", "="],
+    "password_word": ["password", "passwd", "pwd", "db_password", "PASSWORD", "userPassword", "passphrase", "secret"],
+    "spaced": [":", "=", " =", " :"],
+    "sign": ["=", ":"],
+    "symbol": ["!", "#", "@", "$", "%", "^", "&", "*", "?", ";"],
+    "joint": ["!", "#", "@", "-", "_", ".", "&", "+"],
+    "leet": ["Tr0ub4dor", "p@ssw0rd", "hunter2", "S3cret", "Winter2024", "qwErty12", "dr4gon", "letM3in", "Blu3Sky", "n1ghtOwl"],
+    **{f"lower{i}": ["correct", "horse", "battery", "staple", "river", "candle", "orange", "window", "monkey", "paper", "silver", "garden", "wolke", "berg", "maison", "rouge", "verde", "campo"] for i in range(4)},
+    "dash": ["-", "-", "_", "."],
+    "template": ["your_password_here", "<your-password>", "${DB_PASSWORD}", "{{password}}", "%(password)s", "********", "process.env.PASSWORD", "os.environ.get", "xxxxxxxx", "changeme", "undefined", "required", "[required]", "placeholder", "example-password", "$PASSWORD_HERE", "PASSWORD_HERE"],
+    "dummy": ["your_api_key_here1", "example_token_123456", "xxxxxxxxxxxxxxxx", "placeholder_key_01", "changeme12345678", "<your-token-here>", "example-token-1234567", "0000000000000000000", "test_key_1234567890"],
+    "usual": ["please", "should", "therefore", "wichtig", "important", "changed", "whenever", "musique", "nothing", "authentication", "configured", "rotation-policy", "well-known", "two-factor", "everyone's", "expires", "optional", "minimum-length"],
+    "asked_word": ["password", "passwd", "secret", "key", "token", "Keyword", "the key", "author", "authors"],
+    "weak_name": ["key", "token", "keywords", "author", "monkey", "auth"],
+    "scheme": ["postgres", "mysql", "https", "amqp", "redis", "mongodb+srv"],
+    "login": ["user", "admin", "app", ""],
+    "host": ["db.example.com/main", "localhost:5432", "10.0.0.5/x", "host"],
+    "more": ["", "&page=2", "&user=ann"],
+    "field": ["id", "page", "ref", "sha"],
+    "provider": ["ghp_", "sk_live_", "xoxb-", "glpat-", "npm_", "AIza"],
+    "bearer": ["Authorization: Bearer", "bearer", "jwt ="],
+    "cloud": ["AWS secret key", "access key:", "secret ="],
+    "session": ["id", "uuid", "request", "", "session"],
+    "number_name": ["id=", "order:", "", "no:"],
+    "ending": [".html", ".json", ".png", ".txt"],
+    "article": ["SKU-", "ABC-", "INV-"],
+    "order_word": ["order", "invoice", "", "product"],
+    "check_word": ["integrity", "integrity:", "digest"],
+}
+#: Parts that are one of several drawn from the parts above, given as templates.
+MIXES = {
+    "key": ["«hex32»", "«hex40»", "«hex18»", "«mixed24»", "«mixed40»", "«base40»", "«mixed32»"],
+    "hash": ["«hex32»", "«hex40»", "«hex64»", "«hex40»"],
+    "secret_password": ["«leet»«symbol»«mixed4»", "«leet»«mixed5»«symbol»«more5»", "«mixed6»«joint»«more5»", "«leet»«joint»«digits2»", "«mixed12»", "«mixed9»"],
+    "plain": ["«usual»", "«lower0»", "«word»", "«other»"],
+    "parameter": ["«digits8»", "«hash»", "«word»"],
+    "passphrase": ["«lower0»«dash»«lower1»«dash»«lower2»«dash»«lower3»"],
+}
+#: (label, word, words before).
+CASES = [
+    (1, "«password_word»«sign»«q»«secret_password»«q»", "«prose»"),
+    (1, "«q»«secret_password»«q»", "«prose» «password_word»«spaced»"),
+    (1, "«q»«passphrase»«q»", "«prose» «password_word»«spaced»"),
+    (1, "«password_word»«sign»«passphrase»", "«prose»"),
+    (1, "«scheme»://«login»:«secret_password»@«host»", "«prose»"),
+    (1, "https://api.example.com/v«digits1»?«secret_name»=«key»«more»", "«prose»"),
+    (1, '{"user":"«word»«digits4»","«secret_name»":"«key»"}', "«prose»"),
+    (1, "«q»«key»«q»«tail»", "«prose» «secret_name» «eq»"),
+    (1, "«secret_name»«eq»«q»«key»«q»«tail»", "«prose»"),
+    (1, "password=«hex18»«tail»", "«prose»"),
+    (1, "AKIA«caps16»«tail»", "«prose»"),
+    (1, "«provider»«mixed36»«tail»", "«prose»"),
+    (1, "eyJ«mixed33».«more40».«last43»«tail»", "«prose» «bearer»"),
+    (1, "«base40»«tail»", "«prose» «cloud»"),
+    (1, '"«base40»"«tail»', "«prose» «cloud»"),
+    (0, "«password_word»«sign»«q»«template»«q»", "«prose»"),
+    (0, "«q»«template»«q»", "«prose» «password_word»«spaced»"),
+    (0, "«plain»", "«prose» «asked_word»:"),
+    (0, "«plain»", "«prose» «asked_word» :"),
+    (0, "«weak_name»«sign»«plain»", "«prose»"),
+    (0, "https://www.example.com/«word»?«field»=«parameter»", "«prose»"),
+    (0, "https://www.example.com/«word»?«field»=«parameter»&lang=en", "«prose»"),
+    (0, "http://«word»:«digits4»/«other»@«word»", "«prose»"),
+    (0, '{"commit":"«hash»","«plain_name»":"«uuid»"}', "«prose»"),
+    (0, "«hash»«tail»", "«prose» «plain_name»"),
+    (0, "«plain_name»«eq»«q»«hash»«q»«tail»", "«prose»"),
+    (0, "«hash»«tail»", "«prose»"),
+    (0, "«uuid»«tail»", "«prose» «session»"),
+    (0, "«digits16»«tail»", "«prose»"),
+    (0, "«number_name»«digits18»«tail»", "«prose»"),
+    (0, "«word».«digits2»@mail«digits1».example.com«tail»", "«prose»"),
+    (0, "https://www.example.org/«word»/«digits6»/«other»-«word»«tail»", "«prose»"),
+    (0, "/usr/«word»/«other»«digits3»/«word»«ending»«tail»", "«prose»"),
+    (0, "«word»_«other»_from_«word»«digits2»«tail»", "«prose»"),
+    (0, "20«digits2»-«digits2»-«digits2»T«digits2»:«digits2»:«digits2»", "«prose»"),
+    (0, "«secret_name»«eq»«q»«dummy»«q»", "«prose»"),
+    (0, "«q»«dummy»«q»", "«prose» «secret_name» «eq»"),
+    (0, "«article»«digits4»-«digits6»-«caps4»«tail»", "«prose» «order_word»"),
+    (0, "«word»-«other»-«word»-«digits2»«tail»", "«prose»"),
+    (0, "sha256-«base43»=", "«prose» «check_word»"),
+    (0, "«digits3».«digits2».«digits3».«digits2»:«digits4»«tail»", "«prose»"),
+]
+PART = re.compile("«([a-z_]+?)([0-9]*)»")
+
+
 def labelled_findings(spark: SparkSession, n_findings: int, seed: int = 5) -> DataFrame:
-    """Seeded cases (word, before, after, label); made by built-in functions, so they are the same everywhere."""
+    """Seeded cases (word, before, after, label): templates filled with seeded parts by built-in functions, so they are the same everywhere."""
     mark = lambda k: F.sha2(F.concat_ws("/", F.lit(str(seed)), F.col("id"), F.lit(k)), 256)
-    hexa = lambda n, k="h": F.substring(mark(k), 1, n)
-    caps = lambda n: F.substring(F.translate(mark("c"), "0123456789abcdef", "Q7RZTN6HKJ5AMX2W"), 1, n)
-    mixed = lambda n, k="m": F.substring(F.regexp_replace(F.base64(F.unhex(F.concat(mark(k), mark(k + "2")))), "[+/=]", "x"), 1, n)
-    base = lambda n: F.substring(F.base64(F.unhex(F.concat(mark("b"), mark("b2")))), 1, n)
-    digits = lambda n: F.substring(F.regexp_replace(F.translate(mark("d"), "abcdef", "123456"), "^0", "4"), 1, n)
-    one_of = lambda k, *x: F.element_at(F.array(*[F.lit(i) if isinstance(i, str) else i for i in x]), (F.pmod(F.xxhash64(mark(k)), F.lit(len(x))) + 1).cast("int"))
-    prose = one_of("p", "the on of", "er and thion", "", "with en la", "que los de", "und der ein", "ouha. Ered the")
-    tail = one_of("t", "", "", ".", ",", "###", "%%%", "&&&", "$$$")
-    length = lambda *n: one_of("n", *[F.lit(i) for i in n])
-    secret_name = one_of("s", "token", "TOKEN", "api_key", "apiKey", "secret", "client_secret", "password", "passwd", "access_key", "auth_token", "aws_secret_access_key", "private_key")
-    plain_name = one_of("s", "commit", "sha1", "md5", "checksum", "etag", "revision", "uuid", "id", "ref", "digest", "build", "order")
-    some_key = one_of("k", hexa(32), hexa(40), hexa(18), mixed(24), mixed(40), base(40), mixed(32))
-    some_hash = one_of("k", hexa(32), hexa(40), hexa(64), hexa(40))
-    uuid = F.concat_ws("-", hexa(8), hexa(4, "u1"), hexa(4, "u2"), hexa(4, "u3"), hexa(12, "u4"))
-    word = one_of("w", "threing", "andention", "produit", "kunden", "images", "reports", "main", "user", "article", "erthould")
-    other = one_of("v", "oning", "list", "index", "seite", "pages", "value", "data", "theration", "number")
-    q = one_of("q", '"', "'", "")
-    eq = one_of("e", "=", ":", "=")
-    secret_word = one_of("pw", "password", "passwd", "pwd", "db_password", "PASSWORD", "userPassword", "passphrase", "secret")
-    sign = one_of("sg", ":", "=", " =", " :")
-    sym = one_of("mk", "!", "#", "@", "$", "%", "^", "&", "*", "?", ";")
-    sym2 = one_of("mk2", "!", "#", "@", "-", "_", ".", "&", "+")
-    leet = one_of("lt", "Tr0ub4dor", "p@ssw0rd", "hunter2", "S3cret", "Winter2024", "qwErty12", "dr4gon", "letM3in", "Blu3Sky", "n1ghtOwl")
-    some_password = one_of("sp", F.concat(leet, sym, mixed(4)), F.concat(leet, mixed(5), sym, mixed(5, "m3")), F.concat(mixed(6), sym2, mixed(5, "m3")), F.concat(leet, sym2, digits(2)), mixed(12), mixed(9))
-    lower_word = lambda k: one_of(k, "correct", "horse", "battery", "staple", "river", "candle", "orange", "window", "monkey", "paper", "silver", "garden", "wolke", "berg", "maison", "rouge", "verde", "campo", "stone", "cloud")
-    passphrase = F.array_join(F.array(*[lower_word(f"w{i}") for i in range(4)]), "-")
-    passphrase = F.replace(passphrase, F.lit("-"), one_of("pd", "-", "-", "_", "."))
-    template = one_of("tp", "your_password_here", "<your-password>", "${DB_PASSWORD}", "{{password}}", "%(password)s", "********", "process.env.PASSWORD", "os.environ.get", "xxxxxxxx", "changeme", "undefined", "required", "[required]", "placeholder", "example-password", "$PASSWORD_HERE", "PASSWORD_HERE")
-    usual = one_of("us", "please", "should", "therefore", "wichtig", "important", "changed", "whenever", "musique", "nothing", "authentication", "configured", "rotation-policy", "well-known", "two-factor", "everyone's", "expires", "optional", "minimum-length")
-    cases: list[tuple[int, Column, Column]] = [
-        (1, F.concat(secret_word, one_of("sg1", "=", ":"), q, some_password, q), prose),
-        (1, F.concat(q, some_password, q), F.concat(prose, F.lit(" "), secret_word, sign)),
-        (1, F.concat(q, passphrase, q), F.concat(prose, F.lit(" "), secret_word, sign)),
-        (1, F.concat(secret_word, one_of("sg1", "=", ":"), passphrase), prose),
-        (1, F.concat(one_of("ur", "postgres", "mysql", "https", "amqp", "redis", "mongodb+srv"), F.lit("://"), one_of("un", "user", "admin", "app", ""), F.lit(":"), some_password, F.lit("@"), one_of("hs", "db.example.com/main", "localhost:5432", "10.0.0.5/x", "host")), prose),
-        (1, F.concat(F.lit("https://api.example.com/v"), digits(1), F.lit("?"), secret_name, F.lit("="), some_key, one_of("z", "", "&page=2", "&user=ann")), prose),
-        (1, F.concat(F.lit('{"user":"'), word, digits(4), F.lit('","'), secret_name, F.lit('":"'), some_key, F.lit('"}')), prose),
-        (0, F.concat(secret_word, one_of("sg1", "=", ":"), q, template, q), prose),
-        (0, F.concat(q, template, q), F.concat(prose, F.lit(" "), secret_word, sign)),
-        (0, one_of("wd", usual, lower_word("w0"), word, other), F.concat(prose, F.lit(" "), one_of("nm", secret_word, "key", "token", "Keyword", "the key", "author", "authors"), one_of("sg2", ":", " :", ":"))),
-        (0, F.concat(one_of("nm", "key", "token", "keywords", "author", "monkey", "auth"), one_of("sg1", "=", ":"), one_of("wd", usual, lower_word("w0"), word, other)), prose),
-        (0, F.concat(F.lit("https://www.example.com/"), word, F.lit("?"), one_of("nm", "id", "page", "ref", "sha"), F.lit("="), one_of("wd2", digits(8), some_hash, word), one_of("z", "", "&lang=en")), prose),
-        (0, F.concat(F.lit("http://"), word, F.lit(":"), digits(4), F.lit("/"), other, F.lit("@"), word), prose),
-        (0, F.concat(F.lit('{"commit":"'), some_hash, F.lit('","'), plain_name, F.lit('":"'), uuid, F.lit('"}')), prose),
-        (1, F.concat(q, some_key, q, tail), F.concat_ws(" ", prose, secret_name, eq)),
-        (1, F.concat(secret_name, eq, q, some_key, q, tail), prose),
-        (1, F.concat(F.lit("password="), hexa(18), tail), prose),
-        (1, F.concat(F.lit("AKIA"), caps(16), tail), prose),
-        (1, F.concat(one_of("g", "ghp_", "sk_live_", "xoxb-", "glpat-", "npm_", "AIza"), mixed(36), tail), prose),
-        (1, F.concat(F.lit("eyJ"), mixed(33), F.lit("."), mixed(40, "m3"), F.lit("."), mixed(43, "m4"), tail), F.concat_ws(" ", prose, one_of("a", "Authorization: Bearer", "bearer", "jwt ="))),
-        (1, F.concat(one_of("g", "", '"'), base(40), one_of("g", "", '"'), tail), F.concat_ws(" ", prose, one_of("a", "AWS secret key", "access key:", "secret ="))),
-        (0, F.concat(some_hash, tail), F.concat_ws(" ", prose, plain_name)),
-        (0, F.concat(plain_name, eq, q, some_hash, q, tail), prose),
-        (0, F.concat(some_hash, tail), prose),
-        (0, F.concat(uuid, tail), F.concat_ws(" ", prose, one_of("a", "id", "uuid", "request", "", "session"))),
-        (0, F.concat(digits(16), tail), prose),
-        (0, F.concat(one_of("a", "id=", "order:", "", "no:"), F.expr("substring(translate(sha2(string(id), 256), 'abcdef', '123456'), 1, 18)"), tail), prose),
-        (0, F.concat(word, F.lit("."), digits(2), F.lit("@mail"), digits(1), F.lit(".example.com"), tail), prose),
-        (0, F.concat(F.lit("https://www.example.org/"), word, F.lit("/"), digits(6), F.lit("/"), other, F.lit("-"), word, tail), prose),
-        (0, F.concat(F.lit("/usr/"), word, F.lit("/"), other, digits(3), F.lit("/"), word, one_of("x", ".html", ".json", ".png", ".txt"), tail), prose),
-        (0, F.concat(word, F.lit("_"), other, F.lit("_from_"), word, digits(2), tail), prose),
-        (0, F.concat(F.lit("20"), digits(2), F.lit("-"), digits(2), F.lit("-"), digits(2), F.lit("T"), digits(2), F.lit(":"), digits(2), F.lit(":"), digits(2)), prose),
-        (0, F.concat(secret_name, eq, q, one_of("x", "your_api_key_here1", "example_token_123456", "xxxxxxxxxxxxxxxx", "placeholder_key_01", "changeme12345678", "<your-token-here>"), q), prose),
-        (0, F.concat(q, one_of("x", "your_api_key_here1", "example-token-1234567", "0000000000000000000", "test_key_1234567890"), q), F.concat_ws(" ", prose, secret_name, eq)),
-        (0, F.concat(one_of("x", "SKU-", "ABC-", "INV-"), digits(4), F.lit("-"), digits(6), F.lit("-"), caps(4), tail), F.concat_ws(" ", prose, one_of("a", "order", "invoice", "", "product"))),
-        (0, F.concat(word, F.lit("-"), other, F.lit("-"), word, F.lit("-"), digits(2), tail), prose),
-        (0, F.concat(F.lit("sha256-"), base(43), F.lit("=")), F.concat_ws(" ", prose, one_of("a", "integrity", "integrity:", "digest"))),
-        (0, F.concat(digits(3), F.lit("."), digits(2), F.lit("."), digits(3), F.lit("."), digits(2), F.lit(":"), digits(4), tail), prose),
-    ]
-    case = F.pmod("id", F.lit(len(cases)))
-    chosen = lambda i: reduce(lambda so_far, n: so_far.when(case == n, F.lit(cases[n][i])), range(1, len(cases)), F.when(case == 0, F.lit(cases[0][i])))
-    made = spark.range(0, n_findings, 1, 4).select(chosen(1).alias("word"), chosen(2).alias("before"), F.lit("").alias("after"), chosen(0).cast("double").alias("label"))
+    mixed = lambda k: F.regexp_replace(F.base64(F.unhex(F.concat(mark(k), mark(k + "2")))), "[+/=]", "x")
+    runs = {
+        "hex": mark("h"),
+        "caps": F.translate(mark("c"), "0123456789abcdef", "Q7RZTN6HKJ5AMX2W"),
+        "mixed": mixed("m"),
+        "more": mixed("m3"),
+        "last": mixed("m4"),
+        "base": F.base64(F.unhex(F.concat(mark("b"), mark("b2")))),
+        "digits": F.regexp_replace(F.translate(mark("d"), "abcdef", "123456"), "^0", "4"),
+    }
+    one_of = lambda k, x: F.element_at(F.array(*[F.lit(i) for i in x]), (F.pmod(F.xxhash64(F.lit(seed), "id", F.lit(k)), F.lit(len(x))) + 1).cast("int"))
+    parts = {**{f"run_{k}": c for k, c in runs.items()}, **{f"part_{k}": one_of(k, x) for k, x in CHOICES.items()}}
+    parts["part_uuid"] = F.regexp_replace(F.substring(mark("u"), 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    rows = cut(spark.range(0, n_findings, 1, 4).select("id", *[c.alias(k) for k, c in parts.items()]))  # steps, so that each has a small plan
+
+    def filled(template: Column, texts: list[str]) -> Column:
+        for name, size in sorted({m.groups() for t in texts for m in PART.finditer(t)}):
+            whole = name + size
+            part = F.col(f"part_{whole}") if f"part_{whole}" in known else F.substring(f"run_{name}", 1, int(size))
+            template = F.replace(template, F.lit(f"«{whole}»"), part)
+        return template
+
+    known = set(parts)
+    for name, texts in MIXES.items():
+        rows = rows.withColumn(f"part_{name}", filled(one_of(name, texts), texts))
+        known.add(f"part_{name}")
+    rows = cut(rows)
+    case = (F.pmod("id", F.lit(len(CASES))) + 1).cast("int")
+    column = lambda i: F.element_at(F.array(*[F.lit(c[i]) for c in CASES]), case)
+    made = rows.select(*[filled(column(i), [c[i] for c in CASES]).alias(n) for i, n in ((1, "word"), (2, "before"))], F.lit("").alias("after"), column(0).cast("double").alias("label"))
     last, previous = F.substring_index("before", " ", -1), F.substring_index(F.substring_index("before", " ", -2), " ", 1)
     return made.where(is_candidate(F.col("word"), last, previous))
 

@@ -39,7 +39,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def join_hot(rows: DataFrame, side: DataFrame, key: str, count: str, total: int, least: int = 50_000, most_keys: int = 4000) -> DataFrame:
+def join_hot(rows: DataFrame, side: DataFrame, key: str, count: str, total: int, least: int = 500_000, most_keys: int = 4000) -> DataFrame:
     """``rows`` joined with ``side``, which has each key once and the number of its rows in ``count`` (of ``total`` in all); no key fills a task.
 
     Keys with ``least`` rows or a ``most_keys``-th of all, whichever is more, are ``most_keys`` at most, so they can go to all tasks.
