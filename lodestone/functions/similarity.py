@@ -45,7 +45,10 @@ def could_reach(a: Column, b: Column, cutoff: float) -> Column:
     return 2 * F.least(la, lb) >= cutoff * (la + lb)
 
 
-def edit_score(a: Column, b: Column) -> Column:
-    """100 for equal keys, falling with the edit distance relative to the longer key."""
+def edit_score(a: Column, b: Column, least: float | None = None) -> Column:
+    """100 for equal keys, falling with the edit distance relative to the longer key; null where it is surely below ``least``, which is found out sooner."""
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when(longest == 0, 0.0).otherwise(100.0 * (1 - F.levenshtein(a, b) / longest))
+    if least is None:
+        return F.when(longest == 0, 0.0).otherwise(100.0 * (1 - F.levenshtein(a, b) / longest))
+    edits = F.call_function("levenshtein", a, b, F.floor(longest * (1 - least / 100) + 1e-9).cast("int"))
+    return F.when(longest == 0, 0.0).when(edits >= 0, 100.0 * (1 - edits / longest))

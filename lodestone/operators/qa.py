@@ -13,37 +13,53 @@ from lodestone.functions import text as tx
 from lodestone.functions.similarity import could_reach, ratcliff
 
 
-def greedy_pairs(left: list[str], right: list[str], cutoff: float = 0.82, contain: int = 6, second: int = 7) -> list[tuple[str, str, str]]:
-    """One-to-one pairs (left, right, how) of one block, in sorted order: best similar one left, else containment, then longer containment once more."""
+def greedy_pairs(left: list[str], right: list[str], cutoff: float = 0.82, contain: int = 6) -> list[tuple[str, str, str]]:
+    """One-to-one pairs (left, right, how) of one block: each left key in sorted order takes the most similar right key that is free, else the first one that contains it or that it contains."""
     free = sorted(set(right))
-    pairs, missed = [], []
+    pairs = []
     for name in sorted(set(left)):
         near = difflib.get_close_matches(name, free, 1, cutoff)
         hit = near[0] if near else next((f for f in free if min(len(name), len(f)) >= contain and (name in f or f in name)), None)
-        if hit is None:
-            missed.append(name)
-        else:
-            free.remove(hit)
-            pairs.append((name, hit, "similar" if near else "contained"))
-    for name in missed:
-        hit = next((f for f in free if min(len(name), len(f)) >= second and (name[:second] == f[:second] or name in f or f in name)), None)
         if hit is not None:
             free.remove(hit)
-            pairs.append((name, hit, "second"))
+            pairs.append((name, hit, "similar" if near else "contained"))
     return pairs
 
 
+def containments(left: DataFrame, right: DataFrame, least: int = 7) -> DataFrame:
+    """(left, right) where one key contains the other, ``least`` letters at least: the shorter one's first letters are looked up among the longer one's runs of letters."""
+    a, b = left.select(F.col("key").alias("left")).where(F.length("key") >= least), right.select(F.col("key").alias("right")).where(F.length("key") >= least)
+    runs = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - least + 1), lambda i: F.substr(F.col(c), i, F.lit(least)))))
+    inner = a.withColumn("run", F.substring("left", 1, least)).join(b.withColumn("run", runs("right")), "run").where(F.contains("right", "left"))
+    outer = a.withColumn("run", runs("left")).join(b.withColumn("run", F.substring("right", 1, least)), "run").where(F.contains("left", "right"))
+    return inner.select("left", "right").union(outer.select("left", "right")).distinct()
+
+
 def fuzzy_pairs(left: DataFrame, right: DataFrame, cutoff: float = 0.82) -> DataFrame:
-    """(block, left, right, how): greedy pairs between two sets of keys, blocked by their first letter and second letter."""
-    block = lambda df, side: df.select(F.substring("key", 1, 2).alias("block"), F.col("key"), F.lit(side).alias("side"))
+    """(left, right, how): greedy one-to-one pairs between two sets of keys.
+
+    First inside each first letter, so that any later letter may differ; then, for wrong or lost first letters, by containment among all that are
+    left.  The second choice is made in order over the containing pairs alone, which are few, in one task.
+    """
+    block = lambda df, side: df.select(F.substring("key", 1, 1).alias("block"), F.col("key"), F.lit(side).alias("side"))
 
     def pair(frame: pd.DataFrame) -> pd.DataFrame:
         found = greedy_pairs(frame.loc[frame.side == "l", "key"].tolist(), frame.loc[frame.side == "r", "key"].tolist(), cutoff)
-        out = pd.DataFrame(found, columns=["left", "right", "how"])
-        out.insert(0, "block", frame["block"].iloc[0])
-        return out
+        return pd.DataFrame(found, columns=["left", "right", "how"])
+
+    def choose(frame: pd.DataFrame) -> pd.DataFrame:
+        taken, chosen = set(), {}
+        for a, b in sorted(zip(frame["left"], frame["right"], strict=True)):
+            if a not in chosen and b not in taken:
+                chosen[a] = b
+                taken.add(b)
+        return pd.DataFrame([(a, b, "second") for a, b in chosen.items()], columns=["left", "right", "how"])
 
-    return block(left, "l").unionByName(block(right, "r")).groupBy("block").applyInPandas(pair, "block string, left string, right string, how string")
+    schema = "left string, right string, how string"
+    first = block(left, "l").unionByName(block(right, "r")).groupBy("block").applyInPandas(pair, schema)
+    edges = containments(left.select("key").distinct(), right.select("key").distinct())
+    edges = edges.join(first.select("left"), "left", "left_anti").join(first.select("right"), "right", "left_anti").select("left", "right")
+    return first.unionByName(edges.groupBy(F.lit(1).alias("all")).applyInPandas(choose, schema))
 
 
 def close_match(left: DataFrame, right: DataFrame, by: str, key: str, cutoff: float) -> DataFrame:
@@ -83,28 +99,26 @@ def residual_kind(in_crossrefs: Column, in_text: Column) -> Column:
 
 
 def crosscheck(ours: DataFrame, reference: DataFrame) -> DataFrame:
-    """One row of counts: common keys, fuzzy pairs, residues of both sides, and the match percentage of the reference."""
+    """One row of counts: common keys, fuzzy pairs, keys of both sides, and the match percentage of the reference (0 for an empty one)."""
     a, b = ours.select("key").distinct(), reference.select("key").distinct()
     common = a.join(b, "key", "left_semi")
-    rest_a, rest_b = a.join(b, "key", "left_anti"), b.join(a, "key", "left_anti")
-    fuzzy = fuzzy_pairs(rest_b, rest_a)
+    fuzzy = fuzzy_pairs(a.join(b, "key", "left_anti"), b.join(a, "key", "left_anti"))
     n = lambda df, name: df.agg(F.count("*").alias(name))
     out = n(common, "common").crossJoin(n(fuzzy, "fuzzy")).crossJoin(n(a, "ours")).crossJoin(n(b, "reference"))  # one row each
-    return out.withColumn("match_pct", F.bround(100 * (F.col("common") + F.col("fuzzy")) / F.col("reference"), 1))
+    return out.withColumn("match_pct", F.bround(100 * (F.col("common") + F.col("fuzzy")) / F.greatest("reference", F.lit(1)), 1))
 
 
-def index_verdict(entries: DataFrame, names: DataFrame, likely: float = 0.88, per_block: int = 5) -> DataFrame:
+def index_verdict(entries: DataFrame, names: DataFrame, likely: float = 0.88) -> DataFrame:
     """(entry_id, verdict, similarity, hit): exact name known, likely variant of one, or to be reviewed.
 
-    ``names`` has key and name; inexact candidates share the first two letters and the best ``per_block`` by edit distance are measured exactly
-    (a search operator's top-k, as the index answers).
+    ``names`` has key and name; inexact candidates share the first two letters, and all that can reach ``likely`` by their letters are measured
+    exactly; without one the similarity is 0.
     """
     asked = entries.select("entry_id", tx.alpha_key(F.col("headword")).alias("key"))
     exact = asked.join(names.groupBy("key").agg(F.min("name").alias("hit")), "key", "left")
     open_ = exact.where("hit IS NULL").withColumn("block", F.substring("key", 1, 2))
     known = names.select(F.col("key").alias("other"), F.col("name").alias("hit2"), F.substring("key", 1, 2).alias("block"))
-    near = open_.join(known, "block").withColumn("edit", F.levenshtein("key", "other"))
-    near = near.withColumn("_rn", F.row_number().over(Window.partitionBy("entry_id").orderBy("edit", "other"))).where(F.col("_rn") <= per_block)
+    near = open_.join(known, "block").where(could_reach(F.col("key"), F.col("other"), likely))
     best = near.withColumn("ratio", ratcliff(F.col("key"), F.col("other"))).groupBy("entry_id").agg(F.max("ratio").alias("ratio"), F.max_by("hit2", F.struct("ratio", "other")).alias("near"))
     joined = exact.join(best, "entry_id", "left")
     similar = F.coalesce(F.bround("ratio", 3), F.lit(0.0))

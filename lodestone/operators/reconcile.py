@@ -89,18 +89,36 @@ def best_candidate(candidates: DataFrame, by: list[str], threshold: float = THRE
 def name_cascade(places: DataFrame, gazetteer: DataFrame, passes: tuple[Pass, ...] = PASSES, threshold: float = THRESHOLD) -> DataFrame:
     """(place columns, pass, place_id, title, score, relation) of the first pass that matches each place.
 
-    ``places`` has key, name, country_code, parents (container ids, broad to narrow).
+    ``places`` has key, name, country_code, parents (container ids, broad to narrow).  Exact passes are joined on the whole key; only places
+    they leave open are compared by letters, once for all passes, with names of their country, first letter and a length within reach.
+    Names more than MARGIN below the threshold are no candidates, so ``gap`` is null where no area comes that close.
     """
-    names = gazetteer_names(gazetteer).alias("g")
-    asked = pass_requests(places, passes).withColumn("block", F.substring("query_key", 1, 1))
-    asked = asked.withColumn("len", F.explode(reachable_lengths(F.length("query_key"), F.col("mode"), threshold))).alias("q")
-    same_country = F.col("q.country_code").isNull() | (F.col("q.country_code") == F.col("g.country_code"))
+    names = gazetteer_names(gazetteer).withColumn("len", F.length("key")).alias("g")
+    asked = pass_requests(places, passes)
+    by = ["key", "pass_rank", "pass", "relation"]
+    hit = ["g.place_id", "g.title", "g.lat", "g.lon", "g.has_geom"]
+
+    def best_of(scored: DataFrame) -> DataFrame:
+        once = scored.groupBy(*by, "place_id", "title", "lat", "lon", "has_geom").agg(F.max("score").alias("score")).withColumn("hit_rank", F.lit(0))
+        return best_candidate(once, by, threshold)
+
     inside = F.col("q.container").isNull() | F.array_contains("g.containers", F.col("q.container"))
-    same_name = (F.col("q.mode") != "exact") | (F.col("q.query_key") == F.col("g.key"))
-    pairs = asked.join(names, (F.col("q.block") == F.col("g.block")) & (F.col("q.len") == F.length("g.key")) & same_country & inside & same_name)
-    scored = pairs.select("q.key", "q.pass_rank", "q.pass", "q.relation", "g.place_id", "g.title", "g.lat", "g.lon", "g.has_geom", score(F.col("q.query_key"), F.col("g.key"), F.col("q.mode")).alias("score"))
-    scored = scored.where("score IS NOT NULL").groupBy("key", "pass_rank", "pass", "relation", "place_id", "title", "lat", "lon", "has_geom").agg(F.max("score").alias("score")).withColumn("hit_rank", F.lit(0))
-    best = best_candidate(scored, ["key", "pass_rank", "pass", "relation"], threshold)
+    country = F.col("q.country_code").isNull() | (F.col("q.country_code") == F.col("g.country_code"))
+    equal = asked.where("mode = 'exact'").alias("q").join(names, (F.col("q.query_key") == F.col("g.key")) & country & inside)
+    exact = best_of(equal.select(*[f"q.{c}" for c in by], *hit, F.lit(100.0).alias("score")))
+
+    done = exact.select(F.col("key").alias("done"), F.col("pass_rank").alias("done_rank"))
+    open_ = asked.where("mode <> 'exact'").join(done, (F.col("key") == F.col("done")) & (F.col("done_rank") < F.col("pass_rank")), "left_anti")
+    open_ = open_.groupBy("key", "query_key", "country_code").agg(F.collect_list(F.struct("pass_rank", "pass", "relation", "container")).alias("passes"))
+    open_ = open_.withColumn("block", F.substring("query_key", 1, 1)).withColumn("len", F.explode(reachable_lengths(F.length("query_key"), F.lit("phonetic"), threshold))).alias("q")
+    alike = (F.col("q.block") == F.col("g.block")) & (F.col("q.len") == F.col("g.len"))
+    known = open_.where("country_code IS NOT NULL").alias("q").join(names, alike & (F.col("q.country_code") == F.col("g.country_code")))
+    anywhere = open_.where("country_code IS NULL").alias("q").join(names, alike)
+    usable = F.filter("q.passes", lambda p: p["container"].isNull() | F.array_contains("g.containers", p["container"]))
+    pairs = lambda met: met.select("q.key", usable.alias("usable"), *hit, edit_score(F.col("q.query_key"), F.col("g.key"), threshold - MARGIN).alias("score")).where((F.size("usable") > 0) & F.col("score").isNotNull())
+    scored = pairs(known).unionByName(pairs(anywhere)).select("*", F.explode("usable").alias("p"))
+    scored = scored.select("key", "p.pass_rank", "p.pass", "p.relation", "place_id", "title", "lat", "lon", "has_geom", "score")
+    best = exact.unionByName(best_of(scored))
     first = best.withColumn("_rn", F.row_number().over(Window.partitionBy("key").orderBy("pass_rank"))).where("_rn = 1")
     return first.drop("_rn", "hit_rank")
 

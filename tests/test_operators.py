@@ -158,9 +158,44 @@ def test_greedy_pairs_are_one_to_one():
     assert qa.greedy_pairs(["SANCTPETER"], ["SANCTPETERABBEY"])[0][2] == "contained"
 
 
+def slow_crosscheck(ours, reference, cutoff=0.82):
+    import difflib
+
+    ours, reference = set(ours), set(reference)
+    rest, free, pairs = sorted(ours - reference), sorted(reference - ours), {}
+    for o in rest:
+        same = [c for c in free if c[0] == o[0]]
+        near = difflib.get_close_matches(o, same, 1, cutoff) or [c for c in same if min(len(o), len(c)) >= 6 and (o in c or c in o)][:1]
+        if near:
+            pairs[o] = near[0]
+            free.remove(near[0])
+    for o in rest:
+        held = [c for c in free if min(len(o), len(c)) >= 7 and (o in c or c in o)]
+        if o not in pairs and held:
+            pairs[o] = held[0]
+            free.remove(held[0])
+    return pairs
+
+
 def test_crosscheck(spark):
-    row = fixtures.headword_crosscheck(spark, "").first()
+    keys = lambda *names: spark.createDataFrame([(n,) for n in names], "key string")
+    row = qa.crosscheck(keys("BASTOGNE", "MALABAR", "KALKUTTA"), keys("BASTOGUE", "MALABAR", "ZANTE")).first()
     assert (row.common, row.fuzzy, row.reference, row.match_pct) == (1, 1, 3, 66.7)
+    second_letter = {(r.left, r.right) for r in qa.fuzzy_pairs(keys("ABERDEEN", "GLASGOW"), keys("AHERDEEN", "CLASGOW")).collect()}
+    assert second_letter == {("ABERDEEN", "AHERDEEN")}
+    lost_first = [(r.left, r.right, r.how) for r in qa.fuzzy_pairs(keys("CONSTANTINE"), keys("ONSTANTINE", "ZONE")).collect()]
+    assert lost_first == [("CONSTANTINE", "ONSTANTINE", "second")]
+    assert qa.crosscheck(keys("A"), keys("A").limit(0)).first().match_pct == 0
+
+
+def test_crosscheck_equals_brute_force(spark):
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    names = sorted({r.k for r in part.select(tx.alpha_key(F.col("p_name")).alias("k")).collect()})
+    ours = names[::2] + [n[0] + "Q" + n[2:] for n in names[1::4]]
+    theirs = [n[1:] if i % 3 == 0 else n[:1] + "X" + n[2:] if i % 3 == 1 else n for i, n in enumerate(names)]
+    frames = [spark.createDataFrame([(n,) for n in side], "key string") for side in (sorted(set(ours) - set(theirs)), sorted(set(theirs) - set(ours)))]
+    found = {r.left: r.right for r in qa.fuzzy_pairs(*frames).collect()}
+    assert found == slow_crosscheck(ours, theirs) and len(found) > 10
 
 
 def test_heading_difference(spark):
