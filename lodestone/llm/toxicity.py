@@ -233,7 +233,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, n_toxic: int, n_clean: i
     return [texts[d] for d in sorted(texts)], [int(d in toxic) for d in sorted(texts)]
 
 
-def fit_model(docs: DataFrame, labels: DataFrame, n_toxic: int = 1200, n_clean: int = 2000, chars_per_class: int = 4_000_000) -> ToxicityModel:
+def fit_model(docs: DataFrame, labels: DataFrame, n_toxic: int = 1200, n_clean: int = 2000, chars_per_class: int = 3_000_000) -> ToxicityModel:
     model = fit_toxicity(*training_sample(docs, labels, n_toxic, n_clean, chars_per_class))
     release_memory()
     return model
