@@ -66,29 +66,55 @@ def test_entries_of_a_volume(spark):
     assert [r.seq for r in sorted(rows.values(), key=lambda r: r.seq)] == list(range(len(rows)))
 
 
+SCHEMA = (
+    "volume string, page_no int, line_no int, printed_page int, line string, opens struct<headword: string, delimiter: string, rest: string, kind: string>, "
+    "head string, is_false boolean, is_noise boolean, stands_alone boolean"
+)
+
+
+def entries(spark, rows, appendix_after=200):
+    rows = [("v", 0, i, r["printed_page"], r["line"], r["opens"], r["head"], r["is_false"], r["is_noise"], r["stands_alone"]) for i, r in enumerate(rows)]
+    return sorted(segment.entries_of_lines(spark.createDataFrame(rows, SCHEMA), appendix_after).collect(), key=lambda r: r.seq)
+
+
 def line(text, **more):
     return {"line": text, "printed_page": 1, "opens": None, "head": None, "is_false": True, "is_noise": False, "stands_alone": False} | more
 
 
-def opens(name, rest):
-    return line(f"{name}, {rest}", opens={"headword": name, "delimiter": ",", "rest": rest, "kind": "entry"})
+def opens(name, rest, **more):
+    return line(f"{name}, {rest}", opens=(name, ",", rest, "entry"), **more)
 
 
-def test_display_heading_needs_a_finished_entry_and_a_later_name():
-    heading = line("AFGHANISTAN.", head="AFGHANISTAN", is_false=False, stands_alone=True)
-    prose = line("This country is large.")
-    done = list(segment.fold_volume([opens("ABBEVILLE", "a town. Pop. 657."), heading, prose]))
-    assert [e["headword_raw"] for e in done] == ["ABBEVILLE", "AFGHANISTAN"]
-    cut = list(segment.fold_volume([opens("ABBEVILLE", "a town in the circle of the"), heading, prose]))
+def heading(name, **more):
+    return line(f"{name}.", head=name, is_false=False, stands_alone=True, **more)
+
+
+def test_display_heading_needs_a_finished_entry_and_a_later_name(spark):
+    shown, prose = heading("AFGHANISTAN"), line("This country is large.")
+    done = entries(spark, [opens("ABBEVILLE", "a town. Pop. 657."), shown, prose])
+    assert [e["headword_raw"] for e in done] == ["ABBEVILLE", "AFGHANISTAN"] and done[1].body == "This country is large."
+    cut = entries(spark, [opens("ABBEVILLE", "a town in the circle of the"), shown, prose])
     assert [e["headword_raw"] for e in cut] == ["ABBEVILLE"]
-    back = list(segment.fold_volume([opens("ZARA", "a town. Pop. 657."), heading, prose]))
+    back = entries(spark, [opens("ZARA", "a town. Pop. 657."), shown, prose])
     assert [e["headword_raw"] for e in back] == ["ZARA"]
+    list_of_heads = entries(spark, [opens("ABBEVILLE", "a town."), shown, heading("AGRA"), prose])
+    assert [e["headword_raw"] for e in list_of_heads] == ["ABBEVILLE", "AGRA"]
+
+
+def test_repeated_names_noise_and_hyphens(spark):
+    rows = [line("before all"), opens("MALTA", "an island of the Mediter-", printed_page=4), heading("MALTA", printed_page=5), line("ranean sea, well-", printed_page=5), line("Known.", printed_page=None), line("17", is_noise=True, printed_page=7), heading("MANILA"), line("A town.", printed_page=6)]
+    done = entries(spark, rows)
+    assert [(e.seq, e.headword_raw, e.body, e.page_start, e.page_end) for e in done] == [
+        (0, "MALTA", "an island of the Mediterranean sea, well- Known. 17", 4, 7),
+        (1, "MANILA", "A town.", 1, 6),
+    ]
 
 
-def test_appendix_ends_the_entries_and_is_kept():
+def test_appendix_ends_the_entries_and_is_kept(spark):
     rows = [opens(f"NAME{chr(65 + i // 26)}{chr(65 + i % 26)}", "a town.") for i in range(5)] + [line("APPENDIX."), line("ancient names")]
-    out = list(segment.fold_volume(rows, appendix_after=2))
-    assert out[-1]["kind"] == "back_matter" and out[-1]["body"] == "APPENDIX.\nancient names"
+    out = entries(spark, rows, appendix_after=2)
+    assert [e.seq for e in out] == list(range(6)) and out[-1]["kind"] == "back_matter" and out[-1]["body"] == "APPENDIX.\nancient names"
+    assert len(entries(spark, rows, appendix_after=4)) == 5
 
 
 def test_clean_text_and_names(spark):
