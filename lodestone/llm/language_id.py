@@ -155,7 +155,7 @@ def training_ids(docs: DataFrame, docs_per_language: int) -> dict[str, list[tupl
     return found
 
 
-def fit_language_model(docs: DataFrame, docs_per_language: int = 240, chars_per_language: int = 1_500_000, min_count: int = 4) -> PpmModel:
+def fit_language_model(docs: DataFrame, docs_per_language: int = 240, chars_per_language: int = 600_000, min_count: int = 4) -> PpmModel:
     """Fit on a bounded sample of whole texts: at most ``docs_per_language`` documents and ``chars_per_language`` characters a language; a text that does not fit is passed over."""
     picked = training_ids(docs, docs_per_language)
     texts = whole_texts(docs, ["lang", "doc_id"], picked, chars_per_language)
