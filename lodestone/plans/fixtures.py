@@ -219,12 +219,6 @@ def merge_pages(spark, _):
     return readers.merge_page_files(pages)
 
 
-@query("feature_lines")
-def feature_lines(spark, d):
-    rows = spark.read.parquet(f"{d}/supplier.parquet").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), (F.col("s_suppkey") % 180).cast("double").alias("lon"), (F.col("s_suppkey") % 85).cast("double").alias("lat"))
-    return sinks.point_features(rows, ["id", "name"])
-
-
 @query("transcript_headwords")
 def transcript_headwords(spark, _):
     pages = spark.createDataFrame([("<p>ACCRINGTON (NEW), a town</p><p>MALABAR. A coast</p><p>Prose, x</p>",)], "html string")

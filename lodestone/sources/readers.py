@@ -187,13 +187,13 @@ def running_heads(lines: Column, stop: list[str] | None = None) -> Column:
     """All-capital lines of three letters or more that are neither Roman numbers nor on the stop list."""
     stop = stop or tx.TABLE_WORDS
     ok = lambda s: s.rlike(r"^[A-ZÀ-Þ][A-ZÀ-Þ .'’\-]*$") & (F.length(tx.alpha_key(s)) >= 3) & ~tx.alpha_key(s).rlike("^[IVXLCDM]+$") & ~s.isin(stop)
-    return F.filter(F.transform(lines, F.trim), ok)
+    return F.filter(F.transform(lines, lambda s: F.trim(s)), ok)
 
 
 def printed_page_guess(text: Column) -> Column:
     """Page marker within the first 200 characters, else a bare number of 1 to 999 in the first six lines with text."""
     mark = F.regexp_extract(F.substring(text, 1, 200), r"## p\. (\d+)", 1).try_cast("int")
-    lines = F.slice(F.filter(F.transform(F.split(text, "\n"), F.trim), lambda s: s != ""), 1, 6)
+    lines = F.slice(F.filter(F.transform(F.split(text, "\n"), lambda s: F.trim(s)), lambda s: s != ""), 1, 6)
     bare = F.get(F.filter(lines, lambda s: s.rlike(r"^\d{1,3}$") & ~s.rlike("^0+$")), F.lit(0)).try_cast("int")
     return F.coalesce(mark, bare)
 

@@ -8,7 +8,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from lodestone.plans import fixtures, queries
+from lodestone.plans import fixtures, queries, records
+
+QUERIES = {**queries.QUERIES, **records.QUERIES}
+ORACLES = {**queries.ORACLES, **records.ORACLES}
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
@@ -36,19 +39,19 @@ def rows(columns, data):
     return sorted([tuple(cell(r[i]) for i in order) for r in data])
 
 
-@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    df = queries.QUERIES[name](spark, str(DATA))
+    df = QUERIES[name](spark, str(DATA))
     found = rows(df.columns, [tuple(r) for r in df.collect()])
-    cursor = duck.execute(queries.ORACLES[name])
+    cursor = duck.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(names)
     assert found == rows(names, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)) + sorted(fixtures.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)) + sorted(fixtures.QUERIES))
 def test_other_queries_give_rows(spark, name):
-    run = queries.QUERIES.get(name) or fixtures.QUERIES[name]
+    run = QUERIES.get(name) or fixtures.QUERIES[name]
     assert run(spark, str(DATA)).count() > 0
 
 
@@ -65,5 +68,5 @@ def test_results_do_not_depend_on_partitions(spark, name, partitions):
 
 
 def _collect(spark, name):
-    df = queries.QUERIES[name](spark, str(DATA))
+    df = QUERIES[name](spark, str(DATA))
     return df.columns, [tuple(r) for r in df.collect()]
