@@ -52,6 +52,12 @@ def join_hot(rows: DataFrame, side: DataFrame, key: str, count: str, total: int,
     return rows.join(hot, key).unionByName(cold)
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Bytes that the optimizer expects of ``df``; 0 where it knows no size."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

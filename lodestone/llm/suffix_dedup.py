@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import mix64, utf8_view
-from lodestone.llm.shared import cut, small_batches, trimmed
+from lodestone.llm.shared import cut, plan_bytes, small_batches, trimmed
 
 BLOCK = 1 << 20
 PACKER = pa.Codec("zstd", compression_level=4)
@@ -467,8 +467,7 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, with_text: bool = False
     k = max(1, 2 * threshold // 5)
     spark = docs.sparkSession
     table = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 24, math.ceil(min(size, 1 << 50) / (4 << 20))) if size < 1 << 60 else 1)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 24, math.ceil(plan_bytes(docs) / (4 << 20))))
     dealt = table.repartition("doc_id")
     copies = exact_copies(table, threshold)
     marked = dealt.join(copies.select("doc_id", F.lit(True).alias("is_copy")), "doc_id", "left")  # a filter here would be pushed under the exchange

@@ -2,7 +2,7 @@
 
 Documents are range-partitioned by identifier, encoded where they land, and each partition streams one shard into the
 shared folder (temporary name, then rename, so a retried task leaves no partial shard).  The shard list,
-one row a partition, goes to the driver, which adds up the id counts so that every document knows how many
+one row a shard, goes to the driver, which adds up the id counts so that every document knows how many
 ids come before it; the shards are then read back in parallel.
 
 Encoding: the byte-level pre-tokeniser always breaks before the white space that precedes a word, and between a letter and punctuation, so a text is cut there, the
@@ -14,9 +14,10 @@ null identifiers come first; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import accumulate, batched, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import ragged_take, slices
-from lodestone.llm.shared import new_folder, small_batches, trimmed
+from lodestone.llm.shared import new_folder, plan_bytes, small_batches, trimmed
 from lodestone.llm.sstable import SSTableReader, SSTableWriter, filesystem
 
 SPACES = np.zeros(256, bool)
@@ -126,8 +127,11 @@ WRITTEN = "shard string, first_id long, n_docs long, n_ids long, part int"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, slice_bytes: int = 6 << 20) -> list[dict]:
-    """Write one shard a range partition; returns the shard list in key order, with the ids before each shard."""
+def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, slice_bytes: int = 6 << 20, shard_bytes: int = 128 << 20) -> list[dict]:
+    """Write one shard a range partition; returns the shard list in key order, with the ids before each shard.
+
+    There are as many shards as shuffle partitions are set, or more, so that each holds ``shard_bytes`` of the input on average at most.
+    """
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +157,8 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2,
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([first], pa.int64()), pa.array([writer.n_docs], pa.int64()), pa.array([writer.n_ids], pa.int64()), pa.array([part], pa.int32())], names=["shard", "first_id", "n_docs", "n_ids", "part"])
 
     # batches of some 30 MB: pieces repeat within a slice, so smaller ones cost time
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    wanted = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(plan_bytes(docs) / shard_bytes))
+    ordered = docs.select("doc_id", "text").repartitionByRange(wanted, "doc_id").sortWithinPartitions("doc_id", "text")
     shards = sorted((r.asDict() for r in small_batches(ordered, 10_000).mapInArrow(run, WRITTEN).collect()), key=lambda r: r["part"])
     before = 0
     for shard in shards:
@@ -170,12 +175,13 @@ def read_shards(spark, folder: str, shards: list[dict]) -> DataFrame:
         fs, root = filesystem(folder)
         for batch in batches:
             for name, before in zip(batch.column("shard").to_pylist(), batch.column("before").to_pylist(), strict=True):
-                rows = []
                 with fs.open_input_file(f"{root}/{name}") as file:
-                    for doc_id, ids in SSTableReader(file).scan():
-                        rows.append((doc_id, before, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                        before += len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                    measured = ((doc_id, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for doc_id, ids in SSTableReader(file).scan())
+                    for rows in batched(measured, 100_000):
+                        keys, sizes, sums = zip(*rows, strict=True)
+                        starts = list(accumulate(sizes, initial=before))
+                        before = starts.pop()
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (keys, starts, sizes, sums)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     listed = spark.createDataFrame([(s["shard"], s["before"]) for s in shards], "shard string, before long")
     return listed.repartition(max(1, len(shards)), F.col("shard")).mapInArrow(run, READ)

@@ -9,7 +9,7 @@ import pytest
 from lodestone.llm import merge_dropout as md
 from lodestone.llm import token_output as to
 from lodestone.llm.arrow_text import slices
-from lodestone.llm.shared import new_folder
+from lodestone.llm.shared import new_folder, plan_bytes
 from lodestone.llm.sstable import SSTableReader, SSTableWriter, filesystem, key_of
 
 from .conftest import tokenizer
@@ -75,6 +75,16 @@ def test_files_are_in_the_shared_folder(spark, odd):
     assert names == sorted(s["shard"] for s in shards)
 
 
+def test_shards_follow_the_bytes(spark, medium):
+    docs, folder = medium("documents"), new_folder(spark, "t")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = to.write_shards(docs, tokenizer("byte_bpe_50k.json"), folder, shard_bytes=plan_bytes(docs) // (3 * least))
+    assert 2 * least < len(shards) <= 3 * least + 1
+    rows = sorted(map(tuple, to.read_shards(spark, folder, shards).collect()), key=lambda r: r[1])
+    assert len(rows) == docs.count() and [r[0] for r in rows] == sorted(r[0] for r in rows)
+    assert [r[1] + r[2] for r in rows[:-1]] == [r[1] for r in rows[1:]]
+
+
 def encode(enc, texts, ids=None):
     out, same = [], []
     for lo, hi, data, offsets, _ in slices(pa.array(texts), 1 << 18):
