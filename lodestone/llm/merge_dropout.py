@@ -2,15 +2,17 @@
 
 Encoding takes the best-scored merge of neighbouring pieces until none is left (ties: leftmost).  With dropout, a candidate merge is skipped for good
 when a keyed hash of (seed, stream, word, start, middle, end) falls under the dropout rate, so the segmentation varies with the
-seed and stream but never with the order of tasks.  Each word occurrence takes one of ``streams`` streams by a hash of the
-seed, doc_id and the word's number in the text; within a text the same word is thus cut in several ways.  Rate 0 gives the library's own encoding.
+seed and stream but never with the order of tasks.  The stream of a word occurrence is a hash of the seed, doc_id and the word's number
+in the text, so every occurrence in the corpus is drawn on its own.  Rate 0 gives the library's own encoding.
 
 No piece spans certain neighbouring characters (a letter and the space after it, say).  Texts are cut wherever the bytes on both
-sides never meet inside a piece, which changes no result; the distinct cuts of a slice are encoded once per stream, many at a time
-in numpy, and the pieces are gathered back.  Characters outside the vocabulary become byte pieces, so decoding returns
-every text exactly; U+2581 itself is coded by bytes to stay apart from the space it stands for.
+sides never meet inside a piece, which changes no result.  A skipped merge matters only where it would have been carried out, so a short word's
+encodings form a tree: a run is the merges carried out under a set of skipped ones, and the first merge of it that an occurrence's hash skips
+leads on to the run with that one skipped too.  Occurrences go down the tree many at a time in numpy, only runs met for the first time are
+merged, and the pieces are gathered back; long words are merged for each occurrence.  Characters outside the vocabulary become byte pieces,
+so decoding returns every text exactly; U+2581 itself is coded by bytes to stay apart from the space it stands for.
 
-Defined results: null and empty texts have no pieces; a null doc_id counts as -1 for the choice of streams; repeated rows are encoded alike;
+Defined results: null and empty texts have no pieces; a null doc_id counts as -1 for the stream; repeated rows are encoded alike;
 an empty table gives no rows.
 """
 
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,8 @@ from lodestone.llm.shared import small_batches, trimmed
 
 META = "▁"
 NONE = np.int64(1 << 40)
-WIDTHS = (8, 16, 32, 64)
+WIDTHS = (8, 16, 32, 64, 128, 256)
+TREE_WIDTH = 16
 
 
 class PieceModel:
@@ -78,11 +81,15 @@ class PieceModel:
         return np.where((self.pair_key[at] == key) & (left >= 0) & (right >= 0), self.pair_rank[at], NONE)
 
 
-def dropped(key: np.ndarray, start, middle, end, limit: int) -> np.ndarray:
-    """Whether the keyed hash skips the merge of [start, middle) and [middle, end)."""
+def spot_of(start, middle, end) -> np.ndarray:
+    """The merge of [start, middle) and [middle, end) as one number."""
+    return np.asarray(start).astype(np.uint64) << np.uint64(42) ^ np.asarray(middle).astype(np.uint64) << np.uint64(21) ^ np.asarray(end).astype(np.uint64)
+
+
+def dropped(key: np.ndarray, spot: np.ndarray, limit: int) -> np.ndarray:
+    """Whether the keyed hash skips the merge."""
     if limit == 0:
-        return np.zeros(np.broadcast(key, start).shape, bool)
-    spot = np.asarray(start).astype(np.uint64) << np.uint64(42) ^ np.asarray(middle).astype(np.uint64) << np.uint64(21) ^ np.asarray(end).astype(np.uint64)
+        return np.zeros(np.broadcast(key, spot).shape, bool)
     return mix64(key ^ mix64(spot)) < np.uint64(limit)
 
 
@@ -98,7 +105,7 @@ def agenda(model: PieceModel, symbols: list[int], key: int, limit: int) -> list[
         j = after[i]
         if j < n and symbols[i] >= 0 and symbols[j] >= 0:
             made = model.pairs.get(symbols[i] << 20 | symbols[j])
-            if made is not None and not dropped(word, np.array([i]), np.array([j]), np.array([end[j]]), limit)[0]:
+            if made is not None and not dropped(word, spot_of([i], [j], [end[j]]), limit)[0]:
                 heapq.heappush(heap, (int(model.rank[made]), i, j, end[j]))
 
     for i in range(n - 1):
@@ -118,8 +125,11 @@ def agenda(model: PieceModel, symbols: list[int], key: int, limit: int) -> list[
     return [s for s, a in zip(symbols, alive, strict=True) if a]
 
 
-def merge_words(model: PieceModel, symbols: np.ndarray, sizes: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
-    """Merge many short words side by side, in place; symbols [word, place].  Returns the places still in use."""
+def merge_words(model: PieceModel, symbols: np.ndarray, sizes: np.ndarray, skip: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merge many short words side by side, in place, but for the merges that ``skip(word, spot)`` holds for; symbols [word, place].
+
+    Returns the places still in use, and the merges carried out: their words, ascending, and their spots in order.
+    """
     n, width = symbols.shape
     place = np.arange(width)
     alive = place < sizes[:, None]
@@ -129,8 +139,9 @@ def merge_words(model: PieceModel, symbols: np.ndarray, sizes: np.ndarray, key:
     rank = np.full((n, width), NONE)
     if width > 1:
         rank[:, :-1] = np.where(alive[:, 1:], model.merged(symbols[:, :-1], symbols[:, 1:]), NONE)
-        rank[:, :-1][dropped(key[:, None], place[None, :-1], place[None, 1:], place[None, 1:] + 1, limit)] = NONE
+        rank[:, :-1][skip(np.arange(n)[:, None], spot_of(place[None, :-1], place[None, 1:], place[None, 1:] + 1))] = NONE
     todo = np.arange(n)
+    done = [(todo[:0], np.zeros(0, np.uint64))]
     while len(todo):
         i = rank[todo].argmin(axis=1)
         best = rank[todo, i]
@@ -139,6 +150,7 @@ def merge_words(model: PieceModel, symbols: np.ndarray, sizes: np.ndarray, key:
         if not len(todo):
             break
         j = after[todo, i]
+        done.append((todo, spot_of(i, j, end[todo, j])))
         symbols[todo, i] = model.of_rank[best]
         alive[todo, j] = False
         rank[todo, j] = NONE
@@ -152,55 +164,168 @@ def merge_words(model: PieceModel, symbols: np.ndarray, sizes: np.ndarray, key:
             ok = a >= 0
             word, a, b = word[ok], a[ok], b[ok]
             new = model.merged(symbols[word, a], symbols[word, b])
-            new[dropped(key[word], a, b, end[word, b], limit)] = NONE
+            new[skip(word, spot_of(a, b, end[word, b]))] = NONE
             rank[word, a] = new
-    return alive
+    word, spot = (np.concatenate(x) for x in zip(*done, strict=True))
+    order = np.argsort(word, kind="stable")
+    return alive, word[order], spot[order]
+
+
+def runs_of(sorted_values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    new = np.ones(len(sorted_values), bool)
+    new[1:] = sorted_values[1:] != sorted_values[:-1]
+    return np.flatnonzero(new)
+
+
+class Pool:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype):
+        self.data, self.used = np.zeros(1 << 14, dtype), 0
+
+    def add(self, values: np.ndarray) -> int:
+        """Append; where the values begin."""
+        at, self.used = self.used, self.used + len(values)
+        if self.used > len(self.data):
+            grown = np.zeros(max(self.used, 2 * len(self.data)), self.data.dtype)
+            grown[:at] = self.data[:at]
+            self.data = grown
+        self.data[at : self.used] = values
+        return at
 
 
 class DropoutEncoder:
-    """Pieces of words, remembered by word and stream up to ``capacity`` words; then the memory starts anew."""
+    """Pieces of words by the trees of their runs, remembered up to ``capacity`` words and ``most_merges`` merges; then the memory starts anew.
 
-    def __init__(self, path: str, seed: int, rate: float, streams: int, capacity: int = 150_000):
-        self.model, self.seed, self.streams, self.capacity = PieceModel(path), seed, streams if rate > 0 else 1, capacity
+    With ``streams`` occurrences share so many streams, so a word has at most so many encodings; 0: each has its own.
+    """
+
+    def __init__(self, path: str, seed: int, rate: float, streams: int = 0, capacity: int = 150_000, most_merges: int = 4_000_000):
+        self.model, self.seed, self.streams, self.capacity, self.most_merges = PieceModel(path), seed, streams, capacity, most_merges
         self.limit = min(2**64 - 1, int(rate * 2.0**64))
+        self.salt = mix64(np.array([seed], np.int64).view(np.uint64))
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint16 if len(self.model.rank) <= 1 << 16 else np.uint32), 0
-        self.start = np.full(1 << 14, -1, np.int64)
-        self.size = np.zeros(1 << 14, np.int32)
+        self.known: dict[str, int] = {}  # word -> its number
+        self.names: list[str] = []
+        self.crc, self.root = Pool(np.uint64), Pool(np.int64)  # of each word: its checksum, its run without skipped merges (-1: a long word)
+        self.name, self.parent, self.skipped, self.base = Pool(np.int64), Pool(np.int64), Pool(np.uint64), Pool(np.int64)  # of each run: word, run it leaves, where, after how many merges
+        self.start, self.size = Pool(np.int64), Pool(np.int64)  # of each run, in ``flat``
+        self.first, self.merges = Pool(np.int64), Pool(np.int64)  # of each run: its merges from ``base`` on, in the three below
+        self.spot, self.mixed, self.child = Pool(np.uint64), Pool(np.uint64), Pool(np.int64)
+        self.flat = Pool(np.uint16 if len(self.model.rank) <= 1 << 16 else np.uint32)
+
+    def keys(self, crc: np.ndarray, streams: np.ndarray) -> np.ndarray:
+        return mix64(crc.astype(np.uint64) << np.uint64(8) ^ streams.astype(np.uint64) ^ self.salt)
 
     def words(self, words: list[str], streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pieces of all words, number of pieces of each), merged in groups of similar length."""
+        key = self.keys(np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint64, count=len(words)), streams)
+        flat, number, _, _ = self._merge(words, key, lambda mine: lambda word, spot: dropped(key[mine[word]], spot, self.limit))
+        return flat, number
+
+    def _merge(self, words: list[str], key: np.ndarray | None, skips: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(pieces of all words, number of pieces of each, words of the merges carried out, their spots); ``skips`` makes the test for some of the words."""
         sizes = np.fromiter(map(len, words), np.int64, count=len(words))
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
         symbols = self.model.of_char[points].astype(np.int64)
         symbols[symbols < 0] = -1 - points[symbols < 0]
         at = np.cumsum(sizes) - sizes
-        name = np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint64, count=len(words))
-        key = mix64(name << np.uint64(8) ^ streams.astype(np.uint64) ^ mix64(np.array([self.seed], np.int64).view(np.uint64)))
-        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, their numbers of pieces, the pieces
+        parts: list[tuple[np.ndarray, ...]] = []  # words, their numbers of pieces, the pieces, words of the merges, their spots
         low = 0
         for width in WIDTHS:
             mine = np.flatnonzero((sizes > low) & (sizes <= width))
-            for lo in range(0, len(mine), 1 << 16):
-                w = mine[lo : lo + (1 << 16)]
+            step = (1 << 20) // width
+            for lo in range(0, len(mine), step):
+                w = mine[lo : lo + step]
                 table = symbols[np.minimum(at[w][:, None] + np.arange(width), len(symbols) - 1)]
-                alive = merge_words(self.model, table, sizes[w], key[w], self.limit)
-                parts.append((w, alive.sum(axis=1), table[alive]))
+                alive, word, spot = merge_words(self.model, table, sizes[w], skips(w))
+                parts.append((w, alive.sum(axis=1), table[alive], w[word], spot))
             low = width
         for w in np.flatnonzero(sizes > low):
             out = agenda(self.model, symbols[at[w] : at[w] + sizes[w]].tolist(), int(key[w]), self.limit)
-            parts.append((np.array([w]), np.array([len(out)]), np.array(out, np.int64)))
+            parts.append((np.array([w]), np.array([len(out)]), np.array(out, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)))
         number = np.zeros(len(words), np.int64)
         begin = np.zeros(len(words), np.int64)
         base = 0
-        for w, n, out in parts:
+        for w, n, out, _, _ in parts:
             number[w], begin[w] = n, base + np.cumsum(n) - n
             base += len(out)
         flat = ragged_take(np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int64), begin, number)
-        return self._bytes_of_unknown(flat, number)
+        word, spot = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, dtype) for i, dtype in ((3, np.int64), (4, np.uint64)))
+        order = np.argsort(word, kind="stable")
+        return *self._bytes_of_unknown(flat, number), word[order], spot[order]
+
+    def _new_runs(self, name: np.ndarray, parent: np.ndarray, skipped: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Numbers of new runs of the words ``name``: with ``skipped`` besides all that ``parent`` skips, or with nothing skipped (all parents -1)."""
+        bans, up = [], parent
+        if (parent >= 0).all():
+            bans.append(skipped)
+            while (more := self.parent.data[up] >= 0).any():
+                bans.append(np.where(more, self.skipped.data[up], skipped))
+                up = np.where(more, self.parent.data[up], up)
+
+        def skips(mine: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+            def skip(word: np.ndarray, spot: np.ndarray) -> np.ndarray:
+                hit = np.zeros(np.broadcast(word, spot).shape, bool)
+                for ban in bans:
+                    hit |= ban[mine[word]] == spot
+                return hit
+
+            return skip
+
+        flat, number, word, spot = self._merge([self.names[i] for i in name.tolist()], None, skips)
+        made = np.bincount(word, minlength=len(name))
+        spot = spot[np.arange(len(word)) - (np.cumsum(made) - made)[word] >= base[word]]
+        left = made - base
+        self.start.add(self.flat.add(flat) + np.cumsum(number) - number)
+        self.size.add(number)
+        self.first.add(self.spot.add(spot) + np.cumsum(left) - left)
+        self.mixed.add(mix64(spot))
+        self.child.add(np.full(len(spot), -1))
+        self.merges.add(left)
+        self.parent.add(parent)
+        self.skipped.add(skipped)
+        self.base.add(base)
+        return np.arange(len(name)) + self.name.add(name)
+
+    def _learn(self, names: list[str]) -> None:
+        """Give each new word its number and its run without skipped merges."""
+        new = [name for name in names if name not in self.known]
+        for lo in range(0, len(new), 1 << 16):
+            part = new[lo : lo + (1 << 16)]
+            at = len(self.names)
+            self.known.update(zip(part, range(at, at + len(part)), strict=True))
+            self.names += part
+            self.crc.add(np.fromiter((zlib.crc32(w.encode()) for w in part), np.uint64, count=len(part)))
+            root = np.full(len(part), -1)
+            short = np.flatnonzero(np.fromiter(map(len, part), np.int64, count=len(part)) <= TREE_WIDTH)
+            zero = np.zeros(len(short), np.int64)
+            root[short] = self._new_runs(at + short, zero - 1, zero.astype(np.uint64), zero)
+            self.root.add(root)
+
+    def _descend(self, run: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The run of each occurrence of short words, from the one in which nothing is skipped."""
+        todo = np.arange(len(run)) if self.limit else np.zeros(0, np.int64)
+        while len(todo):
+            now = run[todo]
+            n = self.merges.data[now]
+            who = np.repeat(np.arange(len(todo)), n)
+            place = np.arange(len(who)) + (self.first.data[now] - (np.cumsum(n) - n))[who]
+            hit = np.flatnonzero(mix64(key[todo][who] ^ self.mixed.data[place]) < np.uint64(self.limit))
+            hit = hit[runs_of(who[hit])]
+            todo, now, place = todo[who[hit]], now[who[hit]], place[hit]
+            unmet = np.flatnonzero(self.child.data[place] < 0)
+            at, one = np.unique(place[unmet], return_index=True)
+            parent = now[unmet[one]]
+            for lo in range(0, len(at), 1 << 16):
+                a, p = at[lo : lo + (1 << 16)], parent[lo : lo + (1 << 16)]
+                made = self._new_runs(self.name.data[p], p, self.spot.data[a], self.base.data[p] + a - self.first.data[p])
+                self.child.data[a] = made
+            run[todo] = self.child.data[place]
+        return run
 
     def _bytes_of_unknown(self, flat: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         unknown = np.flatnonzero(flat < 0)
@@ -234,35 +359,20 @@ class DropoutEncoder:
         first = np.searchsorted(cuts, ends)
         n_words = np.diff(first)
         turn = np.arange(len(code)) - np.repeat(first[:-1], n_words)
-        seed = mix64(np.array([self.seed], np.int64).view(np.uint64))
-        stream = (mix64(np.repeat(mix64(doc_ids.view(np.uint64) ^ seed), n_words) ^ turn.astype(np.uint64)) % np.uint64(self.streams)).astype(np.int64)
-        if len(self.known) > self.capacity:
+        stream = mix64(np.repeat(mix64(doc_ids.view(np.uint64) ^ self.salt), n_words) ^ turn.astype(np.uint64))
+        if self.streams:
+            stream %= np.uint64(self.streams)
+        if len(self.known) > self.capacity or self.spot.used > self.most_merges:
             self._reset()
-        known = self.known
-        for name in names:
-            if name not in known:
-                known[name] = len(known)
-        while len(known) * self.streams > len(self.start):
-            grown = len(self.start)
-            self.start, self.size = np.resize(self.start, 2 * grown), np.resize(self.size, 2 * grown)
-            self.start[grown:] = -1
-        slot = np.fromiter(map(known.__getitem__, names), np.int64, count=len(names))
-        where = slot[code] * self.streams + stream
-        need = np.zeros(len(names) * self.streams, bool)
-        need[(code * self.streams + stream)[self.start[where] < 0]] = True
-        need = np.flatnonzero(need)
-        for lo in range(0, len(need), 1 << 17):
-            pair = need[lo : lo + (1 << 17)]
-            words = [names[i] for i in (pair // self.streams).tolist()]
-            pieces, number = self.words(words, pair % self.streams)
-            while self.used + len(pieces) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used : self.used + len(pieces)] = pieces
-            to = slot[pair // self.streams] * self.streams + pair % self.streams
-            self.start[to], self.size[to] = self.used + np.cumsum(number) - number, number
-            self.used += len(pieces)
-        number = self.size[where].astype(np.int64)
-        pieces = ragged_take(self.flat, self.start[where], number)
+        self._learn(names)
+        word = np.fromiter(map(self.known.__getitem__, names), np.int64, count=len(names))[code]
+        run, key = self.root.data[word], self.keys(self.crc.data[word], stream)
+        short, long = np.flatnonzero(run >= 0), np.flatnonzero(run < 0)
+        run[short] = self._descend(run[short], key[short])
+        number, start = np.where(run >= 0, self.size.data[run], 0), np.where(run >= 0, self.start.data[run], 0)
+        pieces, each = self.words([names[i] for i in code[long].tolist()], stream[long])
+        number[long], start[long] = each, self.flat.used + np.cumsum(each) - each
+        pieces = ragged_take(np.concatenate([self.flat.data[: self.flat.used], pieces.astype(self.flat.data.dtype)]), start, number)
         at = np.concatenate([[0], np.cumsum(number)])
         return pieces, at[first], spaced, ends
 
@@ -283,7 +393,7 @@ def encoder(*key) -> DropoutEncoder:
     return _ENCODERS[key]
 
 
-def encode_documents(docs: DataFrame, model: str, seed: int = 20_240_601, rate: float = 0.1, streams: int = 4, with_ids: bool = False, slice_bytes: int = 2 << 20) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, seed: int = 20_240_601, rate: float = 0.1, streams: int = 0, with_ids: bool = False, slice_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, n_pieces, the checksum of the piece ids (little-endian, four bytes each), whether decoding them returns the text, and the ids if asked for."""
 
     @trimmed

@@ -140,3 +140,25 @@ def test_documents_decode(odd, clashing, empty):
     assert texts == sorted((str(r.doc_id), r.text or "") for r in odd.collect())
     assert sorted(map(str, md.encode_documents(clashing, path).collect())) == sorted(map(str, encoded.drop("ids").collect()))
     assert md.encode_documents(empty, path).count() == 0
+
+
+def test_every_occurrence_is_drawn_on_its_own(spark, texts):
+    path = tokenizer("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(i, "unbelievable") for i in range(300)], "doc_id long, text string")
+    rows = md.encode_documents(docs, path, with_ids=True).collect()
+    assert len({tuple(r.ids) for r in rows}) > 8 and all(r.lossless for r in rows)
+    enc = md.DropoutEncoder(path, 7, 0.3)
+    words = [" international", " unbelievable", "naïveté", " a", "xy▁zzy" * 2, " the", "x" * 16, " Geschwindigkeitsbegrenzung", "w" * 300] * 40
+    streams = md.mix64(np.arange(len(words)))
+    flat, number = enc.words(words, streams)
+    ids = [list(x) for x in np.split(flat, np.cumsum(number)[:-1])]
+    assert len({tuple(x) for x, w in zip(ids, words, strict=True) if w == " international"}) > 8
+    enc._learn(list(dict.fromkeys(words)))
+    for _ in range(2):  # the second time all runs are known
+        for i, w in enumerate(words):
+            n = enc.known[w]
+            if enc.root.data[n] >= 0:
+                run = enc._descend(enc.root.data[n : n + 1].copy(), enc.keys(enc.crc.data[n : n + 1], streams[i : i + 1]))[0]
+                assert enc.flat.data[enc.start.data[run] : enc.start.data[run] + enc.size.data[run]].tolist() == ids[i], w
+    few = md.DropoutEncoder(path, 7, 0.1, most_merges=50)
+    assert encode(few, texts)[0] == encode(md.DropoutEncoder(path, 7, 0.1), texts)[0]
