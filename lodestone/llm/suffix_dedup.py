@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.arrow_text import mix64, utf8_view
 from lodestone.llm.shared import cut, plan_bytes, small_batches, trimmed
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 PACKER = pa.Codec("zstd", compression_level=4)
 LOW40 = np.uint64((1 << 40) - 1)
 MARK = np.iinfo(np.int64).min
@@ -241,7 +241,9 @@ def same_rows(keys: np.ndarray, context: np.ndarray) -> np.ndarray:
     first = runs(mixed[order])
     sizes = np.diff(np.append(first, m))
     leader = np.repeat(order[first], sizes)
-    equal = (keys[order] == keys[leader]) & np.all(words[order] == words[leader], axis=1)
+    equal = keys[order] == keys[leader]
+    for j in range(words.shape[1]):
+        equal &= words[order, j] == words[leader, j]
     number = np.repeat(np.arange(len(first)), sizes)
     number[~equal] = len(first) + np.arange(int((~equal).sum()))
     out = np.empty(m, np.int64)
@@ -249,14 +251,18 @@ def same_rows(keys: np.ndarray, context: np.ndarray) -> np.ndarray:
     return out
 
 
-def surroundings(data: np.ndarray, start: np.ndarray, size: np.ndarray, pos: np.ndarray, threshold: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def surroundings(data: np.ndarray, start: np.ndarray, size: np.ndarray, pos: np.ndarray, threshold: int, k: int, at_once: int = 1 << 13) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes around each anchor, bytes there are before it, bytes from it on); zeros beyond the document."""
     reach = threshold - k
     left, right = np.minimum(pos, reach), np.minimum(size - pos, threshold)
     span = np.arange(-reach, threshold)
-    inside = (span >= -left[:, None]) & (span < right[:, None])
-    at = np.where(inside, (start + pos)[:, None] + span, 0)
-    return np.where(inside, data[at], 0).astype(np.uint8), left.astype(np.uint8), right.astype(np.uint8)
+    context = np.zeros((len(pos), len(span)), np.uint8)
+    for lo in range(0, len(pos), at_once):  # places are eight times as wide as the bytes
+        part = slice(lo, lo + at_once)
+        inside = (span >= -left[part, None]) & (span < right[part, None])
+        at = np.where(inside, (start[part] + pos[part])[:, None] + span, 0)
+        context[part] = np.where(inside, data[at], 0)
+    return context, left.astype(np.uint8), right.astype(np.uint8)
 
 
 def context_columns(threshold: int, k: int) -> tuple:
@@ -333,8 +339,11 @@ def digits(context: np.ndarray, row: np.ndarray, start: np.ndarray, size: int) -
     return out
 
 
-def repeated_windows(h: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray, context: np.ndarray, threshold: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, distance of the window's start before the anchor) of all windows that a smaller doc_id has too."""
+def repeated_windows(h: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray, context: np.ndarray, threshold: int, k: int, at_once: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """(row, distance of the window's start before the anchor) of all windows that a smaller doc_id has too.
+
+    Windows of different distances are never compared, so only as many distances as keep to ``at_once`` windows are taken together.
+    """
     reach, half = threshold - k, (threshold - k) // 2
     keep, group0 = radix_pass(np.zeros(len(h), np.int64), h, doc)
     rows_out, back_out = [], []
@@ -350,20 +359,23 @@ def repeated_windows(h: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np
         for at in range(shared.start, shared.stop, 8):
             kept, group = radix_pass(group, digits(context, row, np.full(len(row), at), min(8, shared.stop - at)), doc[row])
             row = row[kept]
-        n = len(backs)
-        back = np.tile(np.arange(backs.start, backs.stop), len(row))
-        row, group = np.repeat(row, n), np.repeat(group, n) * n + np.tile(np.arange(n), len(row))
-        ok = (left[row] >= back) & (right[row] >= threshold - back)
-        row, group, back = row[ok], group[ok], back[ok]
-        for at in range(0, threshold, 8):
-            kept, group = radix_pass(group, digits(context, row, reach - back + at, min(8, threshold - at)), doc[row])
-            row, back = row[kept], back[kept]
-        if len(row):
-            first = runs(group)
-            least = np.repeat(np.minimum.reduceat(doc[row], first), np.diff(np.append(first, len(row))))
-            again = doc[row] > least
-            rows_out.append(row[again])
-            back_out.append(back[again])
+        row0, group_of = row, group
+        n = max(1, at_once // max(1, len(row0)))
+        for low in range(backs.start, backs.stop, n):
+            some = np.arange(low, min(low + n, backs.stop))
+            back = np.tile(some, len(row0))
+            row, group = np.repeat(row0, len(some)), np.repeat(group_of, len(some)) * len(some) + np.tile(np.arange(len(some)), len(row0))
+            ok = (left[row] >= back) & (right[row] >= threshold - back)
+            row, group, back = row[ok], group[ok], back[ok]
+            for at in range(0, threshold, 8):
+                kept, group = radix_pass(group, digits(context, row, reach - back + at, min(8, threshold - at)), doc[row])
+                row, back = row[kept], back[kept]
+            if len(row):
+                first = runs(group)
+                least = np.repeat(np.minimum.reduceat(doc[row], first), np.diff(np.append(first, len(row))))
+                again = doc[row] > least
+                rows_out.append(row[again])
+                back_out.append(back[again])
     none = np.zeros(0, np.int64)
     return np.concatenate(rows_out) if rows_out else none, np.concatenate(back_out) if back_out else none
 

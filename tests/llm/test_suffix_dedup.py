@@ -81,3 +81,33 @@ def test_odd_rows(spark, odd, clashing, empty):
     assert sx.remove_repeats(empty).count() == 0
     kept = {r.doc_id: bytes(r.kept) for r in sx.remove_repeats(spark.createDataFrame([(1, "x" * 10 + "shared " * 10), (2, "shared " * 10 + "y")], "doc_id long, text string"), 50, with_text=True).collect()}
     assert kept == {1: ("x" * 10 + "shared " * 10).encode(), 2: b"y"}
+
+
+def test_working_memory_of_one_step(spark):
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    data = np.frombuffer(rng.bytes(1 << 20), np.uint8)
+    n = 1 << 17
+    pos = np.sort(rng.integers(0, len(data), n))
+
+    def peak(run):
+        tracemalloc.start()
+        try:
+            return run(), tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    (context, left, right), mb = peak(lambda: sx.surroundings(data, np.zeros(n, np.int64), np.full(n, len(data)), pos, 50, 20))
+    assert mb < 60
+    for i in (0, n // 2, n - 1):
+        around = data[pos[i] - left[i] : pos[i] + right[i]]
+        assert context[i, 30 - left[i] : 30 + right[i]].tobytes() == around.tobytes()
+    m = 60_000  # one anchor in many documents, with differing text around it
+    some = np.repeat(rng.integers(97, 123, (m // 3, 80)).astype(np.uint8), 3, axis=0)
+    some[:, 30:50], some[::3, 0:5] = some[0, 30:50], 65
+    args = (np.zeros(m, np.uint64), np.arange(m), np.full(m, 30, np.uint8), np.full(m, 50, np.uint8), some, 50, 20)
+    (row, back), mb = peak(lambda: sx.repeated_windows(*args))
+    assert mb < 100
+    rows, backs = sx.repeated_windows(*args, at_once=1 << 30)
+    assert len(row) and sorted(zip(row.tolist(), back.tolist(), strict=True)) == sorted(zip(rows.tolist(), backs.tolist(), strict=True))
