@@ -76,10 +76,17 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int
     last = np.minimum(first + shingle, before[1:][row]) - 1
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(text[s:e], seed) for s, e in zip(starts[first].tolist(), ends[last].tolist(), strict=True)), np.uint64, count=len(first))
+    return majority(hashes, n)
+
+
+def majority(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """SimHash of each run of ``n`` hashes: a bit is set if it is set in over half of them."""
     out = np.zeros(len(n), np.uint64)
     full = np.flatnonzero(n)
     if not len(full):
         return out
+    base = np.cumsum(n) - n
+    row = np.repeat(np.arange(len(n)), n)
     cuts = np.concatenate([np.arange(base[d], base[d] + n[d], 65_535) for d in full]) if n.max() > 65_535 else base[full]
     doc_of = row[cuts]
     lanes, low16 = np.uint64(0x0001000100010001), np.uint64(0xFFFF)
