@@ -9,7 +9,8 @@ No piece spans certain neighbouring characters (a letter and the space after it,
 sides never meet inside a piece, which changes no result.  A skipped merge matters only where it would have been carried out, so a short word's
 encodings form a tree: a run is the merges carried out under a set of skipped ones, and the first merge of it that an occurrence's hash skips
 leads on to the run with that one skipped too.  Occurrences go down the tree many at a time in numpy, only runs met for the first time are
-merged, and the pieces are gathered back; long words are merged for each occurrence.  Characters outside the vocabulary become byte pieces,
+merged, and the pieces are gathered back; long words are merged for each occurrence.  Working memory is bounded in every step: of a slice of
+texts only narrow arrays are held whole, and what grows with merges or bytes is made for a block of it at a time.  Characters outside the vocabulary become byte pieces,
 so decoding returns every text exactly; U+2581 itself is coded by bytes to stay apart from the space it stands for.
 
 Defined results: null and empty texts have no pieces; a null doc_id counts as -1 for the stream; repeated rows are encoded alike;
@@ -28,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrow_text import mix64, ragged_take, slices
-from lodestone.llm.shared import small_batches, trimmed
+from lodestone.llm.shared import release_memory, small_batches, trimmed
 
 META = "▁"
 NONE = np.int64(1 << 40)
 WIDTHS = (8, 16, 32, 64, 128, 256)
 TREE_WIDTH = 16
+BLOCK = 1 << 15  # occurrences, pieces or new words handled at once
+CELLS = 1 << 18  # characters handled at once
 
 
 class PieceModel:
@@ -70,8 +73,8 @@ class PieceModel:
         keys = np.array(sorted(pairs), np.int64)
         self.pair_key, self.pair_rank = keys, self.rank[[pairs[int(k)] for k in keys]]
         raw = [bytes([i - self.byte0]) if sp.is_byte(i) else names[i].replace(META, " ").encode() if plain[i] else b"" for i in range(n)]
-        self.piece_size = np.array([len(x) for x in raw], np.int64)
-        self.piece_at = np.cumsum(self.piece_size) - self.piece_size
+        self.piece_size = np.array([len(x) for x in raw], np.int32)
+        self.piece_at = (np.cumsum(self.piece_size) - self.piece_size).astype(np.int32)
         self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -86,6 +89,15 @@ def spot_of(start, middle, end) -> np.ndarray:
     return np.asarray(start).astype(np.uint64) << np.uint64(42) ^ np.asarray(middle).astype(np.uint64) << np.uint64(21) ^ np.asarray(end).astype(np.uint64)
 
 
+def code_of(spot: np.ndarray) -> np.ndarray:
+    """The spot of a merge within a short word in 15 bits, an index to ``SPOTS`` and ``MIXED``."""
+    return ((spot >> np.uint64(32)) | (spot >> np.uint64(16)) & np.uint64(31 << 5) | spot & np.uint64(31)).astype(np.uint16)
+
+
+SPOTS = spot_of(np.arange(1 << 15) >> 10, np.arange(1 << 15) >> 5 & 31, np.arange(1 << 15) & 31)
+MIXED = mix64(SPOTS)
+
+
 def dropped(key: np.ndarray, spot: np.ndarray, limit: int) -> np.ndarray:
     """Whether the keyed hash skips the merge."""
     if limit == 0:
@@ -178,6 +190,12 @@ def runs_of(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def take_runs(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``ragged_take`` of many short runs, a block of them at a time."""
+    parts = [ragged_take(flat, starts[lo : lo + BLOCK].astype(np.int64), lengths[lo : lo + BLOCK].astype(np.int64)) for lo in range(0, len(starts), BLOCK)]
+    return np.concatenate(parts) if parts else flat[:0]
+
+
 class Pool:
     """An array that grows at its end."""
 
@@ -210,11 +228,11 @@ class DropoutEncoder:
     def _reset(self) -> None:
         self.known: dict[str, int] = {}  # word -> its number
         self.names: list[str] = []
-        self.crc, self.root = Pool(np.uint64), Pool(np.int64)  # of each word: its checksum, its run without skipped merges (-1: a long word)
-        self.name, self.parent, self.skipped, self.base = Pool(np.int64), Pool(np.int64), Pool(np.uint64), Pool(np.int64)  # of each run: word, run it leaves, where, after how many merges
-        self.start, self.size = Pool(np.int64), Pool(np.int64)  # of each run, in ``flat``
-        self.first, self.merges = Pool(np.int64), Pool(np.int64)  # of each run: its merges from ``base`` on, in the three below
-        self.spot, self.mixed, self.child = Pool(np.uint64), Pool(np.uint64), Pool(np.int64)
+        self.crc, self.root = Pool(np.uint32), Pool(np.int32)  # of each word: its checksum, its run without skipped merges (-1: a long word)
+        self.name, self.parent, self.skipped, self.base = Pool(np.int32), Pool(np.int32), Pool(np.uint16), Pool(np.uint8)  # of each run: word, run it leaves, where (as a code), after how many merges
+        self.start, self.size = Pool(np.int32), Pool(np.uint8)  # of each run, in ``flat``
+        self.first, self.merges = Pool(np.int32), Pool(np.uint8)  # of each run: its merges from ``base`` on, in the two below
+        self.spot, self.child = Pool(np.uint16), Pool(np.int32)  # the spots as codes
         self.flat = Pool(np.uint16 if len(self.model.rank) <= 1 << 16 else np.uint32)
 
     def keys(self, crc: np.ndarray, streams: np.ndarray) -> np.ndarray:
@@ -237,7 +255,7 @@ class DropoutEncoder:
         low = 0
         for width in WIDTHS:
             mine = np.flatnonzero((sizes > low) & (sizes <= width))
-            step = (1 << 20) // width
+            step = CELLS // width
             for lo in range(0, len(mine), step):
                 w = mine[lo : lo + step]
                 table = symbols[np.minimum(at[w][:, None] + np.arange(width), len(symbols) - 1)]
@@ -262,9 +280,9 @@ class DropoutEncoder:
         """Numbers of new runs of the words ``name``: with ``skipped`` besides all that ``parent`` skips, or with nothing skipped (all parents -1)."""
         bans, up = [], parent
         if (parent >= 0).all():
-            bans.append(skipped)
+            bans.append(SPOTS[skipped])
             while (more := self.parent.data[up] >= 0).any():
-                bans.append(np.where(more, self.skipped.data[up], skipped))
+                bans.append(SPOTS[np.where(more, self.skipped.data[up], skipped)])
                 up = np.where(more, self.parent.data[up], up)
 
         def skips(mine: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
@@ -282,8 +300,7 @@ class DropoutEncoder:
         left = made - base
         self.start.add(self.flat.add(flat) + np.cumsum(number) - number)
         self.size.add(number)
-        self.first.add(self.spot.add(spot) + np.cumsum(left) - left)
-        self.mixed.add(mix64(spot))
+        self.first.add(self.spot.add(code_of(spot)) + np.cumsum(left) - left)
         self.child.add(np.full(len(spot), -1))
         self.merges.add(left)
         self.parent.add(parent)
@@ -294,8 +311,8 @@ class DropoutEncoder:
     def _learn(self, names: list[str]) -> None:
         """Give each new word its number and its run without skipped merges."""
         new = [name for name in names if name not in self.known]
-        for lo in range(0, len(new), 1 << 16):
-            part = new[lo : lo + (1 << 16)]
+        for lo in range(0, len(new), BLOCK):
+            part = new[lo : lo + BLOCK]
             at = len(self.names)
             self.known.update(zip(part, range(at, at + len(part)), strict=True))
             self.names += part
@@ -303,30 +320,39 @@ class DropoutEncoder:
             root = np.full(len(part), -1)
             short = np.flatnonzero(np.fromiter(map(len, part), np.int64, count=len(part)) <= TREE_WIDTH)
             zero = np.zeros(len(short), np.int64)
-            root[short] = self._new_runs(at + short, zero - 1, zero.astype(np.uint64), zero)
+            root[short] = self._new_runs(at + short, zero - 1, zero.astype(np.uint16), zero)
             self.root.add(root)
 
     def _descend(self, run: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The run of each occurrence of short words, from the one in which nothing is skipped."""
-        todo = np.arange(len(run)) if self.limit else np.zeros(0, np.int64)
+        todo = np.arange(len(run), dtype=np.int32) if self.limit else np.zeros(0, np.int32)
         while len(todo):
-            now = run[todo]
-            n = self.merges.data[now]
-            who = np.repeat(np.arange(len(todo)), n)
-            place = np.arange(len(who)) + (self.first.data[now] - (np.cumsum(n) - n))[who]
-            hit = np.flatnonzero(mix64(key[todo][who] ^ self.mixed.data[place]) < np.uint64(self.limit))
-            hit = hit[runs_of(who[hit])]
-            todo, now, place = todo[who[hit]], now[who[hit]], place[hit]
+            who, place = self._first_skipped(run, key, todo)
+            todo, now = todo[who], run[todo[who]]
             unmet = np.flatnonzero(self.child.data[place] < 0)
             at, one = np.unique(place[unmet], return_index=True)
             parent = now[unmet[one]]
-            for lo in range(0, len(at), 1 << 16):
-                a, p = at[lo : lo + (1 << 16)], parent[lo : lo + (1 << 16)]
+            for lo in range(0, len(at), BLOCK):
+                a, p = at[lo : lo + BLOCK], parent[lo : lo + BLOCK]
                 made = self._new_runs(self.name.data[p], p, self.spot.data[a], self.base.data[p] + a - self.first.data[p])
                 self.child.data[a] = made
             run[todo] = self.child.data[place]
         return run
 
+    def _first_skipped(self, run: np.ndarray, key: np.ndarray, todo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``todo`` of the occurrences that skip a merge of their run, the first such merge of each)."""
+        found = []
+        for lo in range(0, len(todo), BLOCK):
+            part = todo[lo : lo + BLOCK]
+            now = run[part]
+            n = self.merges.data[now].astype(np.int64)
+            who = np.repeat(np.arange(len(part)), n)
+            place = np.arange(len(who)) + (self.first.data[now] - (np.cumsum(n) - n))[who]
+            hit = np.flatnonzero(mix64(key[part][who] ^ MIXED[self.spot.data[place]]) < np.uint64(self.limit))
+            hit = hit[runs_of(who[hit])]
+            found.append(((lo + who[hit]).astype(np.int32), place[hit].astype(np.int32)))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
     def _bytes_of_unknown(self, flat: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         unknown = np.flatnonzero(flat < 0)
         if not len(unknown):
@@ -342,45 +368,56 @@ class DropoutEncoder:
     def encode(self, doc_ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(pieces, offsets of the documents in them, the texts with the space before each, offsets of the documents there)."""
         full = np.diff(offsets) > 0
-        shift = np.cumsum(full)
+        ends = offsets + np.concatenate([[0], np.cumsum(full)])
         spaced = np.full(len(data) + int(full.sum()), 0x20, np.uint8)
-        if len(data):
-            spaced[np.arange(len(data)) + np.repeat(shift, np.diff(offsets))] = data
-        ends = offsets + np.concatenate([[0], shift])
         if not len(data):
             return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64), spaced, ends
+        taken = np.ones(len(spaced), bool)
+        taken[ends[:-1][full]] = False
+        spaced[taken] = data
         cut = np.zeros(len(spaced) + 1, bool)
-        cut[1:-1] = ~self.model.met[spaced[:-1].astype(np.int64) << 8 | spaced[1:]] & ((spaced[1:] & 0xC0) != 0x80)
+        for lo in range(1, len(spaced), CELLS):
+            left, right = spaced[lo - 1 : lo - 1 + CELLS], spaced[lo : lo + CELLS]
+            cut[lo : lo + len(right)] = ~self.model.met[left[: len(right)].astype(np.int64) << 8 | right] & ((right & 0xC0) != 0x80)
         cut[ends] = True
-        cuts = np.flatnonzero(cut)
-        column = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(spaced.tobytes()))
-        coded = column.dictionary_encode()
-        names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        first = np.searchsorted(cuts, ends)
-        n_words = np.diff(first)
-        turn = np.arange(len(code)) - np.repeat(first[:-1], n_words)
-        stream = mix64(np.repeat(mix64(doc_ids.view(np.uint64) ^ self.salt), n_words) ^ turn.astype(np.uint64))
-        if self.streams:
-            stream %= np.uint64(self.streams)
+        cuts = np.flatnonzero(cut).astype(np.int32)
+        coded = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(spaced)).dictionary_encode()
+        names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        first = np.searchsorted(cuts, ends.astype(np.int32))
         if len(self.known) > self.capacity or self.spot.used > self.most_merges:
             self._reset()
         self._learn(names)
-        word = np.fromiter(map(self.known.__getitem__, names), np.int64, count=len(names))[code]
-        run, key = self.root.data[word], self.keys(self.crc.data[word], stream)
+        word = np.fromiter(map(self.known.__getitem__, names), np.int32, count=len(names))[code]
+        run, key, stream = self.root.data[word], np.zeros(len(word), np.uint64), np.zeros(len(word), np.uint64)
+        of_doc = mix64(doc_ids.view(np.uint64) ^ self.salt)
+        for lo in range(0, len(word), BLOCK):
+            place = np.arange(lo, min(lo + BLOCK, len(word)))
+            doc = np.searchsorted(first, place, side="right") - 1
+            drawn = mix64(of_doc[doc] ^ (place - first[doc]).astype(np.uint64))
+            stream[place] = drawn % np.uint64(self.streams) if self.streams else drawn
+            key[place] = self.keys(self.crc.data[word[place]], stream[place])
         short, long = np.flatnonzero(run >= 0), np.flatnonzero(run < 0)
         run[short] = self._descend(run[short], key[short])
-        number, start = np.where(run >= 0, self.size.data[run], 0), np.where(run >= 0, self.start.data[run], 0)
-        pieces, each = self.words([names[i] for i in code[long].tolist()], stream[long])
-        number[long], start[long] = each, self.flat.used + np.cumsum(each) - each
-        pieces = ragged_take(np.concatenate([self.flat.data[: self.flat.used], pieces.astype(self.flat.data.dtype)]), start, number)
-        at = np.concatenate([[0], np.cumsum(number)])
+        number, spelt = self.size.data[run].astype(np.int32), []
+        size = np.cumsum([len(names[i]) for i in code[long].tolist()])
+        for mine in np.split(long, np.searchsorted(size, np.arange(CELLS, size[-1], CELLS)) if len(long) else []):
+            flat, number[mine] = self.words([names[i] for i in code[mine].tolist()], stream[mine])
+            spelt.append(flat.astype(self.flat.data.dtype))
+        at = np.concatenate([[0], np.cumsum(number, dtype=np.int64)])
+        pieces = take_runs(self.flat.data, self.start.data[run[short]], number[short])
+        if len(long):
+            whole, mixed = np.zeros(len(word), bool), np.zeros(at[-1], self.flat.data.dtype)
+            whole[long] = True
+            whole = np.repeat(whole, number)
+            mixed[~whole], mixed[whole] = pieces, np.concatenate(spelt)
+            pieces = mixed
         return pieces, at[first], spaced, ends
 
     def decode(self, pieces: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes, offsets of the documents), each non-empty document still with the space before it."""
         number = self.model.piece_size[pieces]
-        at = np.concatenate([[0], np.cumsum(number)])
-        return ragged_take(self.model.piece_bytes, self.model.piece_at[pieces], number), at[offsets]
+        at = np.concatenate([[0], np.cumsum(number, dtype=np.int64)])
+        return take_runs(self.model.piece_bytes, self.model.piece_at[pieces], number), at[offsets]
 
 
 _ENCODERS: dict[tuple, DropoutEncoder] = {}
@@ -405,8 +442,8 @@ def encode_documents(docs: DataFrame, model: str, seed: int = 20_240_601, rate:
                 pieces, at, spaced, ends = enc.encode(np.ascontiguousarray(ids[lo:hi]), data, offsets)
                 raw, back = enc.decode(pieces, at)
                 if len(raw) == len(spaced):
-                    wrong = np.concatenate([[0], np.cumsum(raw != spaced)])
-                    lossless = (np.diff(back) == np.diff(ends)) & (np.diff(wrong[ends]) == 0)
+                    wrong = np.flatnonzero(raw != spaced)
+                    lossless = (np.diff(back) == np.diff(ends)) & (np.diff(np.searchsorted(wrong, ends)) == 0)
                 else:
                     lossless = np.array([np.array_equal(raw[a:b], spaced[c:d]) for a, b, c, d in zip(back[:-1], back[1:], ends[:-1], ends[1:], strict=True)], bool)
                 wide = memoryview(pieces.astype("<u4")).cast("B")
@@ -415,6 +452,8 @@ def encode_documents(docs: DataFrame, model: str, seed: int = 20_240_601, rate:
                 names = ["doc_id", "n_pieces", "ids_crc32", "lossless"]
                 if with_ids:
                     arrays, names = [*arrays, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(pieces.astype(np.int32)))], [*names, "ids"]
+                del pieces, at, spaced, ends, raw, back, wide
+                release_memory()
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = "doc_id long, n_pieces long, ids_crc32 long, lossless boolean" + (", ids array<int>" if with_ids else "")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -162,3 +163,23 @@ def test_every_occurrence_is_drawn_on_its_own(spark, texts):
                 assert enc.flat.data[enc.start.data[run] : enc.start.data[run] + enc.size.data[run]].tolist() == ids[i], w
     few = md.DropoutEncoder(path, 7, 0.1, most_merges=50)
     assert encode(few, texts)[0] == encode(md.DropoutEncoder(path, 7, 0.1), texts)[0]
+
+
+def test_working_memory_of_a_slice(medium):
+    enc = md.DropoutEncoder(tokenizer("piece_bpe_32k.model"), 7, 0.1)
+    text = "\n".join(r.text or "" for r in medium("documents").select("text").limit(700).collect())[: 1 << 20]
+    data = np.frombuffer(text.encode(), np.uint8)
+    args = np.arange(2), np.tile(data, 2), np.array([0, len(data), 2 * len(data)])
+    assert len(data) > 1 << 19
+    peaks = []
+    for _ in range(2):  # with words to be learned, with known ones
+        tracemalloc.start()
+        pieces, at, spaced, ends = enc.encode(*args)
+        raw, back = enc.decode(pieces, at)
+        peaks.append(tracemalloc.get_traced_memory()[1] / len(args[1]))
+        tracemalloc.stop()
+        assert np.array_equal(raw, spaced) and back.tolist() == ends.tolist()
+    print(f"bytes at once for each byte of text: {peaks}")
+    assert peaks[0] < 50 and peaks[1] < 40
+    enc._learn([str(i) for i in range(1000)])
+    assert sum(x.data.itemsize for x in (enc.spot, enc.child)) <= 6
