@@ -21,12 +21,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         if mark[0] == 0 or tuple(mark) == before:
             break
         before = tuple(mark)
-        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        both = now.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = join_hot(both, low, "u", "n", 2 * mark[0]).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        up = now.select(F.col("b").alias("u"), F.col("a").alias("v"))  # a is the larger, so these are the neighbours above u
+        large = join_hot(up, low, "u", "n", 2 * mark[0]).select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct())
+        other = F.when(F.col("b") != F.col("m"), F.col("b")).otherwise(F.col("a"))  # a itself moves by its link to m, the other neighbours by theirs
+        now = cut(large.join(least, "a").select(other.alias("a"), F.col("m").alias("b")).distinct())
     else:
         raise RuntimeError(f"components have not settled after {max_rounds} rounds")
     roots = now.select(F.col("b").alias("node")).distinct().join(now.select(F.col("a").alias("node")), "node", "left_anti")

@@ -112,7 +112,9 @@ def fit_ppm(samples: dict[str, list[bytes]], min_count: int = 4) -> PpmModel:
             pos = np.minimum(np.searchsorted(contexts[k], suffix), len(contexts[k]) - 1)
             hit = contexts[k][pos] == suffix
             row_of[hit] = (first[k] + pos[hit]).astype(np.int32)
-    costs = np.minimum(np.rint(table * SCALE), 65535).astype(np.uint16).reshape(-1, max(1, len(languages)))
+    np.multiply(table, SCALE, out=table)  # in place: the table is the driver's largest array
+    np.minimum(np.rint(table, out=table), 65535, out=table)
+    costs = table.astype(np.uint16).reshape(-1, max(1, len(languages)))
     return PpmModel(languages, classes.astype(np.uint8), a, row_of, costs)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -39,6 +40,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files and checkpoints that nothing refers to any more, which it does only after the driver has collected its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def join_hot(rows: DataFrame, side: DataFrame, key: str, count: str, total: int, least: int = 500_000, most_keys: int = 4000) -> DataFrame:
     """``rows`` joined with ``side``, which has each key once and the number of its rows in ``count`` (of ``total`` in all); no key fills a task.
 

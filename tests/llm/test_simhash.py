@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
+from lodestone.llm import components
 from lodestone.llm import simhash_dedup as sd
 from lodestone.llm.arrow_text import slices
 from lodestone.llm.components import connected_components
@@ -131,3 +132,13 @@ def test_odd_rows(odd, clashing, empty):
 def test_more_than_three_bits_are_refused(spark):
     with pytest.raises(ValueError, match="three"):
         sd.hamming_links(spark.createDataFrame([(1,)], "fp long"), 4)
+
+
+def test_a_round_of_components_has_a_small_plan(spark, monkeypatch):
+    plans, cut = [], components.cut
+    monkeypatch.setattr(components, "cut", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut(df))
+    links = [(i, i // 2) for i in range(2, 40)] + [(100, 101), (102, 101), (50, 50)]
+    found = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == slow_components(links[:-1], {x for link in links[:-1] for x in link})
+    print([len(re.findall(r"\b(?:Aggregate|Join|Union)\b", p)) for p in plans])
+    assert len(plans) > 2 and all(len(re.findall(r"\b(?:Aggregate|Join|Union)\b", p)) <= 9 for p in plans[1:])
