@@ -6,7 +6,8 @@ one row a shard, goes to the driver, which adds up the id counts so that every d
 ids come before it; the shards are then read back in parallel.
 
 Encoding: the byte-level pre-tokeniser always breaks before the white space that precedes a word, and between a letter and punctuation, so a text is cut there, the
-distinct pieces of a slice are encoded once with the tokenizers library, and ids are gathered back by piece.
+distinct pieces of a slice are encoded once with the tokenizers library, and ids are gathered back by piece.  New pieces go to the library in runs, as one text
+each, for its work on a short text is mostly fixed; ids stand for bytes, so the pieces' ids are told apart by counting these.
 
 Defined results: null text encodes as the empty text (only the end id); repeated identifiers keep every row, ordered by text;
 null identifiers come first; an empty table gives no rows.
@@ -15,6 +16,7 @@ null identifiers come first; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate, batched, chain, repeat
@@ -25,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrow_text import ragged_take, slices
+from lodestone.llm.arrow_text import ragged_take, slices, utf8_view
 from lodestone.llm.shared import new_folder, plan_bytes, small_batches, trimmed
 from lodestone.llm.sstable import SSTableReader, SSTableWriter, filesystem
 
@@ -59,15 +61,19 @@ def piece_offsets(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Ids of pieces, remembered up to ``capacity`` pieces; then the memory starts anew."""
+    """Ids of pieces, remembered up to ``capacity`` pieces; then those met in one slice only are forgotten, or all if the others are over half."""
 
     def __init__(self, path: str, capacity: int = 500_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; the library's threads cost more than they share
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.n_bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # byte-level tokens have a character for each byte
         self.capacity = capacity
         self._reset()
 
@@ -75,29 +81,62 @@ class PieceEncoder:
         self.known: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def numbers(self, pieces: list[str]) -> np.ndarray:
+        self.again = np.zeros(1 << 14, bool)
+
+    def _forget(self) -> None:
+        kept = np.flatnonzero(self.again[: len(self.known)])
+        if len(kept) > self.capacity // 2:
+            return self._reset()
+        pieces = list(self.known)
+        pieces, sizes = [pieces[i] for i in kept.tolist()], self.length[kept]
+        ids = ragged_take(self.flat, self.start[kept], sizes)
+        self._reset()
+        self._remember(pieces, ids, sizes)
+
+    def _remember(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n0, n1 = len(self.known), len(self.known) + len(pieces)
+        while n1 > len(self.start):
+            self.start, self.length, self.again = (np.resize(x, 2 * len(x)) for x in (self.start, self.length, self.again))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[n0:n1], self.length[n0:n1], self.again[n0:n1] = self.used + np.cumsum(sizes) - sizes, sizes, False
+        self.used += len(ids)
+        self.known.update(zip(pieces, range(n0, n1), strict=True))
+
+    def _ids(self, pieces: pa.StringArray, run: int = 32) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, ids of each): pieces that begin with white space before a visible character follow others in one text, ``run`` at most."""
+        data, offsets, _ = utf8_view(pieces)
+        longer = np.flatnonzero(np.diff(offsets) > 1)
+        follows = np.zeros(len(pieces), bool)
+        follows[longer] = SPACES[data[offsets[longer]]] & WORD_START[data[offsets[longer] + 1]]
+        first = np.flatnonzero(~follows | (np.arange(len(pieces)) % run == 0))
+        texts = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets[np.append(first, len(pieces))].astype(np.int32).tobytes()), pa.py_buffer(data.tobytes()))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_numpy(zero_copy_only=False).tolist(), add_special_tokens=False)]
+        number = np.fromiter(map(len, found), np.int64, count=len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, count=int(number.sum()))
+        if run == 1:
+            return ids, number
+        ends = np.concatenate([[0], np.cumsum(self.n_bytes[ids])])
+        at = np.searchsorted(ends, offsets)
+        if ends[-1] != offsets[-1] or not np.array_equal(ends[at], offsets):  # ids that do not stand for the bytes of the text
+            return self._ids(pieces, 1)
+        return ids, np.diff(at)
+
+    def numbers(self, pieces: pa.StringArray) -> np.ndarray:
+        """The place of each of some distinct pieces among the known ones."""
         if len(self.known) > self.capacity:
-            self._reset()
-        known = self.known
-        number = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, count=len(pieces))
-        missing = np.flatnonzero(number < 0)
+            self._forget()
+        texts = pieces.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int64, count=len(texts))
+        missing = number < 0
+        self.again[number[~missing]] = True
+        missing = np.flatnonzero(missing)
         for lo in range(0, len(missing), 20_000):
             rows = missing[lo : lo + 20_000]
-            part = [pieces[i] for i in rows.tolist()]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, count=len(found))
-            ids = np.fromiter(chain.from_iterable(found), np.uint32, count=int(sizes.sum()))
-            n0, n1 = len(known), len(known) + len(part)
-            while n1 > len(self.start):
-                self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.start[n0:n1], self.length[n0:n1] = self.used + np.cumsum(sizes) - sizes, sizes
-            self.used += len(ids)
-            known.update(zip(part, range(n0, n1), strict=True))
-            number[rows] = np.arange(n0, n1)
+            n0 = len(self.known)
+            self._remember([texts[i] for i in rows.tolist()], *self._ids(pieces.take(pa.array(rows))))
+            number[rows] = np.arange(n0, n0 + len(rows))
         return number
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +146,7 @@ class PieceEncoder:
         cuts = piece_offsets(data, offsets)
         column = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes()))
         coded = column.dictionary_encode()
-        number = self.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        number = self.numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
         sizes = self.length[number]
         ids = ragged_take(self.flat, self.start[number], sizes)
         ends = np.concatenate([[0], np.cumsum(sizes)])

@@ -32,6 +32,63 @@ def test_pieces_encode_like_whole_texts(texts):
     assert found == [enc.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+class Counting:
+    """A tokenizer that notes the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode_batch_fast(self, texts, **how):
+        self.given += texts
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def encoded(enc, texts):
+    found = []
+    for lo, hi, data, offsets, _ in slices(pa.array(texts), 1 << 18):
+        ids, ends = enc.encode(data, offsets)
+        found += [ids[ends[i] : ends[i + 1]].tolist() for i in range(hi - lo)]
+    return found
+
+
+def test_new_pieces_are_encoded_in_runs_and_known_ones_kept():
+    enc = to.PieceEncoder(tokenizer("byte_bpe_50k.json"), capacity=3000)
+    library, enc.tokenizer = enc.tokenizer, Counting(enc.tokenizer)
+    common = [f"{a}{b}ing" for a in "bcdfghklmnprst" for b in ("and", "ar", "el", "ound", "y")]
+    for k in range(8):  # every slice has the common words and 1000 of its own, so the memory is full twice
+        text = " ".join([*common, *(f"w{k}x{i}" for i in range(1000))])
+        del enc.tokenizer.given[:]
+        assert encoded(enc, [text]) == [library.encode(text, add_special_tokens=False).ids]
+        assert len(enc.tokenizer.given) < 1100 / 16
+        assert k == 0 or not set(" ".join(enc.tokenizer.given).split()) & set(common)
+        assert len(enc.known) <= 3000 + 1100
+    del enc.tokenizer.given[:]
+    for _ in range(3):  # all pieces come again, more than half the memory: it starts anew, with the same ids
+        assert encoded(enc, [text, text[::-1]]) == [library.encode(t, add_special_tokens=False).ids for t in (text, text[::-1])]
+
+
+def test_random_texts_encode_like_whole_ones():
+    draw = np.random.default_rng(5)
+    parts = [" ", "  ", "\n", "\t", "\r", "\x00", "\x85", "\xa0", "\u2028", "\u3000", "a", "the", "S", "'s", "'", "'ll", "é", "ß", "×", "÷", "ÿ", ".", "-", "<|endoftext|>", "7", "42", "日本", "🎉", "\u0301", "_"]
+    texts = ["".join(draw.choice(parts, draw.integers(0, 30))) for _ in range(4000)]
+    enc = to.PieceEncoder(tokenizer("byte_bpe_50k.json"), capacity=2000)
+    assert encoded(enc, texts) == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ids_that_are_not_bytes(tmp_path):
+    import json
+
+    plain = tokenizer("byte_bpe_50k.json")
+    with open(plain, encoding="utf-8") as file:
+        config = json.load(file)
+    config["normalizer"] = {"type": "Replace", "pattern": {"String": "a"}, "content": "bb"}
+    path = tmp_path / "t.json"
+    path.write_text(json.dumps(config), encoding="utf-8")
+    texts = ["a banana and", " an apple a day\nand a b", "x"]
+    enc = to.PieceEncoder(str(path))
+    assert encoded(enc, texts) == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_shards_return_what_was_written(spark, medium, odd, empty):
     path = tokenizer("byte_bpe_50k.json")
     enc = to.PieceEncoder(path)
