@@ -413,3 +413,13 @@ def test_streamed_windows_equal_the_batch(spark, tmp_path):
     closed = {(str(r.start), r.kind, r.n) for r in spark.sql("SELECT * FROM closed").collect()}
     whole = {(str(r.start), r.kind, r.n) for r in ingest.event_windows(batch, "ts", "kind", "value").collect()}
     assert closed <= whole and len(closed) >= 2
+
+
+def test_missing_numbers_are_not_exchanged(spark):
+    rows = spark.createDataFrame([("a", 3), ("a", 10_000), ("a", 3), ("a", -2), (None, 1), (None, 4), (None, None), ("b", 7)], "v string, n int")
+    found = rel.missing_numbers(rows, "v", "n")
+    want = [("a", n) for n in range(-2, 10_000) if n not in (-2, 3)] + [(None, 2), (None, 3)]
+    assert sorted((r.v or "", r.n) for r in found.collect()) == sorted((v or "", n) for v, n in want)
+    assert found.schema["n"].dataType == rows.schema["n"].dataType
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.index("Generate") < plan.index("Exchange")
