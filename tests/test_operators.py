@@ -423,3 +423,9 @@ def test_missing_numbers_are_not_exchanged(spark):
     assert found.schema["n"].dataType == rows.schema["n"].dataType
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.index("Generate") < plan.index("Exchange")
+
+
+def test_first_letter_is_a_letter_with_one_capital(spark):
+    texts = ["ßachzu", "Öß, ach", "ﬁn", "ſo", "ı", "12 ab", "Zug", "öß", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(tx.first_letter(F.col("t")).alias("l")).collect()
+    assert [r.l for r in rows] == ["A", "A", "N", "S", "I", "A", "Z", None, None, None]
