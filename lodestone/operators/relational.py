@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -100,12 +101,47 @@ def even_sample(df: DataFrame, order: str, n: int) -> DataFrame:
     return numbered.join(F.broadcast(spots), "_i", "left_semi").drop("_i")
 
 
+def range_bounds(df: DataFrame, order: str, rows: int = 50_000, most: int = 1024, each: int = 50) -> list:
+    """Values of ``order``, ascending, that split the rows into ranges of about ``rows``, or into ``most`` ranges.
+
+    They are found among distinct values drawn by hash, about ``each`` a range, weighted by their numbers of rows.
+    """
+    n, distinct = df.agg(F.count(order), F.approx_count_distinct(order)).first()
+    ranges = min(most, n // rows + 1)
+    if ranges == 1:
+        return []
+    drawn = df.where(F.col(order).isNotNull() & (F.pmod(F.xxhash64(order), F.lit(max(1, distinct // (ranges * each)))) == 0))
+    found = drawn.groupBy(order).agg(F.count("*").alias("n")).orderBy(order).collect()
+    step, bounds, seen = sum(r["n"] for r in found) / ranges, [], 0
+    for r in found:
+        if seen >= step * (len(bounds) + 1):
+            bounds.append(r[0])
+        seen += r["n"]
+    return bounds
+
+
+def range_of(value: Column, bounds: list, kind: T.DataType, group: int = 32) -> Column:
+    """Number of the ascending bounds that are not above the value (0 for null), by two short searches."""
+    if not bounds:
+        return F.lit(0)
+    of = lambda values: F.array(*[F.lit(v).cast(kind) for v in values])
+    groups = [bounds[i : i + group] for i in range(0, len(bounds), group)]
+    reached = lambda values, v: F.size(F.filter(values, lambda b: b <= v))
+    in_group = lambda v, g: F.when(g > 0, (g - 1) * group + reached(F.get(F.array(*[of(x) for x in groups]), g - 1), v)).otherwise(0)
+    once = F.transform(F.array(value), lambda v: F.struct(v.alias("v"), reached(of([x[0] for x in groups]), v).alias("g")))  # the value is worked out once
+    return F.get(F.transform(once, lambda r: in_group(r["v"], r["g"])), F.lit(0))
+
+
 def with_position(df: DataFrame, order: str, out: str = "_i") -> DataFrame:
-    """Global position from 0 without bringing all rows to one task: range partitions, their sizes, and the rank inside each."""
-    ranged = df.repartitionByRange(order).withColumn("_p", F.spark_partition_id())
+    """Global position from 0 without bringing all rows to one task: ranges of the key, their sizes, and the rank inside each.
+
+    The bounds of the ranges are values fixed beforehand: the ranges of a range exchange can differ each time that Spark plans or merges it,
+    and sizes of other ranges lose, repeat and misplace rows.
+    """
+    ranged = df.withColumn("_p", range_of(F.col(order), range_bounds(df, order), df.schema[order].dataType))
     inside = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(order)))
-    sizes = inside.groupBy("_p").agg(F.count("*").alias("_n"), F.min(order).alias("_lo"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")
+    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")
     return inside.join(F.broadcast(before), "_p").withColumn(out, (F.col("_before") + F.col("_r") - 1).cast("long")).drop("_p", "_r", "_before")
 
 

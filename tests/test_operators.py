@@ -429,3 +429,19 @@ def test_first_letter_is_a_letter_with_one_capital(spark):
     texts = ["ßachzu", "Öß, ach", "ﬁn", "ſo", "ı", "12 ab", "Zug", "öß", "", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(tx.first_letter(F.col("t")).alias("l")).collect()
     assert [r.l for r in rows] == ["A", "A", "N", "S", "I", "A", "Z", None, None, None]
+
+
+def test_position_does_not_depend_on_how_partitions_merge(spark):
+    n = 400_000
+    rows = spark.range(0, n, 1, 8).select(F.concat(F.lit("page "), F.lpad((F.col("id") * 7919 % n).cast("string"), 12, "0")).alias("k"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("ballast"))
+    confs = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    old = {c: spark.conf.get(c) for c in confs}
+    try:
+        for c, v in confs.items():
+            spark.conf.set(c, v)
+        placed = rel.with_position(rows, "k", "place").select(F.substring("k", 6, 12).cast("long").alias("want"), "place", F.length("ballast"))
+        assert "rangepartitioning" not in placed._jdf.queryExecution().executedPlan().toString()  # planned twice, its ranges can differ
+        assert placed.agg(F.count("*"), F.countDistinct("place"), F.count_if(F.col("want") == F.col("place"))).first()[:] == (n, n, n)
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
