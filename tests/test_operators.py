@@ -445,3 +445,9 @@ def test_position_does_not_depend_on_how_partitions_merge(spark):
     finally:
         for c, v in old.items():
             spark.conf.set(c, v)
+
+
+def test_positions_of_null_and_repeated_keys(spark):
+    rows = spark.range(300_000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 40).alias("k"))
+    placed = rel.with_position(rows, "k").groupBy("k").agg(F.min("_i").alias("lo"), F.max("_i").alias("hi"), F.countDistinct("_i").alias("n")).orderBy("k").collect()
+    assert [r.lo for r in placed] == [0, *[r.hi + 1 for r in placed[:-1]]] and all(r.hi - r.lo + 1 == r.n for r in placed)
