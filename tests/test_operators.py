@@ -15,7 +15,7 @@ from lodestone.functions import geo, nested
 from lodestone.functions import text as tx
 from lodestone.operators import corrections, extraction, layout, qa, reconcile, search
 from lodestone.operators import relational as rel
-from lodestone.plans import fixtures, stages
+from lodestone.plans import fixtures, queries, stages
 from lodestone.sources import readers, sinks
 from lodestone.streaming import ingest
 
@@ -451,3 +451,16 @@ def test_positions_of_null_and_repeated_keys(spark):
     rows = spark.range(300_000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 40).alias("k"))
     placed = rel.with_position(rows, "k").groupBy("k").agg(F.min("_i").alias("lo"), F.max("_i").alias("hi"), F.countDistinct("_i").alias("n")).orderBy("k").collect()
     assert [r.lo for r in placed] == [0, *[r.hi + 1 for r in placed[:-1]]] and all(r.hi - r.lo + 1 == r.n for r in placed)
+
+
+def test_nearest_place_of_shared_positions(spark):
+    asked = [(i, float(i % 5) - 2.0, float(i % 3) * 179.0) for i in range(60)] + [(60 + i, 88.0, -170.0 + 60 * i) for i in range(6)]
+    places = [(100 - i, float(i % 4) - 1.5, float(i % 2) * 179.0) for i in range(40)] + [(200, 87.0, 10.0)]
+    found = queries.nearest_place(spark.createDataFrame(asked, "id int, lat double, lon double").repartition(3), spark.createDataFrame(places, "place int, plat double, plon double"))
+
+    def km(a, b, x, y):
+        h = math.sin(math.radians(x - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(x)) * math.sin(math.radians(y - b) / 2) ** 2
+        return 2 * 6371.0 * math.asin(min(1.0, math.sqrt(h)))
+
+    near = {i: min(((round(km(a, b, x, y), 6), p) for p, x, y in places if km(a, b, x, y) <= 500), default=None) for i, a, b in asked}
+    assert {r.id: r.place for r in found.collect()} == {i: v[1] for i, v in near.items() if v}
