@@ -464,3 +464,11 @@ def test_nearest_place_of_shared_positions(spark):
 
     near = {i: min(((round(km(a, b, x, y), 6), p) for p, x, y in places if km(a, b, x, y) <= 500), default=None) for i, a, b in asked}
     assert {r.id: r.place for r in found.collect()} == {i: v[1] for i, v in near.items() if v}
+
+
+def test_equal_texts_are_compared_once_by_trigrams(spark):
+    rows = spark.createDataFrame([(i, ["hot plate", "Hot plates", "cold", "at", None][i % 5]) for i in range(50)], "id int, name string")
+    asked = spark.createDataFrame([("hot plate",), ("hot plate",), ("cold",), ("xy",)], "q string")
+    found = search.trigram_search(asked, "q", rows, "id", "name", 2)
+    want = {("hot plate", i): 7 for i in range(50) if i % 5 < 2} | {("cold", i): 2 for i in range(50) if i % 5 == 2}
+    assert {(r.q, r.id): r.overlap for r in found.collect()} == want and found.count() == len(want)
